@@ -1,0 +1 @@
+"""Kept empty: the work this package covers is one batch job with no stream in it."""
