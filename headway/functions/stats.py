@@ -31,9 +31,17 @@ def r2(label: Column, prediction: Column) -> Column:
     )
 
 
+def correlation(a: Column, b: Column) -> Column:
+    """Pearson correlation over rows with both; null where one does not vary.
+
+    ``F.corr`` divides by the spread and fails on a constant under ANSI rules.
+    """
+    return F.try_divide(F.regr_sxy(a, b), F.sqrt(F.regr_sxx(a, b) * F.regr_syy(a, b)))
+
+
 def r2_corr(label: Column, prediction: Column) -> Column:
     """Squared correlation."""
-    return F.pow(F.corr(label, prediction), F.lit(2.0))
+    return F.pow(correlation(label, prediction), F.lit(2.0))
 
 
 # Published coefficients of Acklam's rational approximation to the

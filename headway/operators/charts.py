@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from headway.functions.binning import histogram_bin
-from headway.functions.stats import order_statistic_median, probit
+from headway.functions.stats import correlation, order_statistic_median, probit
 from headway.operators.ordering import global_row_number
 
 
@@ -66,5 +66,5 @@ def qq_line(points: DataFrame) -> DataFrame:
     return points.agg(
         F.regr_slope("residual", "x").alias("slope"),
         F.regr_intercept("residual", "x").alias("intercept"),
-        F.corr("residual", "x").alias("r"),
+        correlation(F.col("residual"), F.col("x")).alias("r"),
     )

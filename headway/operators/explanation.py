@@ -10,6 +10,7 @@ from pyspark.ml import Model, PipelineModel
 from pyspark.ml.util import MLWritable
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from headway.functions.stats import correlation
 from headway.session import shared_dir
 
 IMPORTANCE_SCHEMA = T.StructType(
@@ -86,7 +87,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     for a in columns:
         pairs.append((a, a, F.when(F.var_pop(a) > 0, F.lit(1.0))))
     for a, b in combinations(columns, 2):
-        value = F.corr(a, b)
+        value = correlation(F.col(a), F.col(b))
         pairs += [(a, b, value), (b, a, value)]
     rows = [F.struct(F.lit(a).alias("f1"), F.lit(b).alias("f2"), v.alias("corr")) for a, b, v in pairs]
     return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))

@@ -75,11 +75,24 @@ def clean_trips(raw: DataFrame, config: RunConfig) -> DataFrame:
     return df.withColumns(calendar_columns(F.col(config.time), config.month_end))
 
 
-def prepare(raw: DataFrame, config: RunConfig) -> tuple[DataFrame, list[str]]:
-    """Clean, number and split the rows; staged once, partitioned by split.
+def profile(spark: SparkSession, raw: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Source report, null profile and row count from one pass over the source."""
+    named = cleaning.normalize_names(raw)
+    kinds = {f.name: f.dataType.simpleString() for f in named.schema.fields}
+    rows = cleaning.null_profile(named).collect()  # one row per column
+    n = rows[0]["n_rows"] if rows else 0
+    source = spark.createDataFrame(
+        [(r["column"], kinds[r["column"]], n) for r in rows], "column string, type string, n_rows bigint"
+    )
+    nulls = spark.createDataFrame([tuple(r) for r in rows], "column string, n_null bigint, n_rows bigint")
+    return source, nulls, n
+
+
+def prepare(raw: DataFrame, config: RunConfig) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Clean, number and split the rows: (cleaned, prepared, features), both staged.
 
     Rows get an id when they are written first, which makes their order by time
-    unique from then on.
+    unique from then on. The prepared rows are partitioned by split.
     """
     cleaned = clean_trips(raw, config)
     features = cleaning.available(cleaned, config.features)
@@ -94,7 +107,7 @@ def prepare(raw: DataFrame, config: RunConfig) -> tuple[DataFrame, list[str]]:
         parted = ordering.hash_split(rows.filter(F.col(config.time).isNotNull()), ROW_ID)
     else:
         parted = ordering.chrono_split(rows, config.time, [ROW_ID], config.train_share, config.test_share)
-    return writing.stage(parted, "prepared", ["split"]), features
+    return rows, writing.stage(parted, "prepared", ["split"]), features
 
 
 def _evaluate(
@@ -122,12 +135,8 @@ def _evaluate(
 def run(spark: SparkSession, raw: DataFrame, config: RunConfig = RunConfig()) -> RunResult:
     """Run the job on trips as read; nothing is written but staged tables."""
     use_utc(spark)
-    source = cleaning.source_report(cleaning.normalize_names(raw))
-    nulls = cleaning.null_profile(cleaning.normalize_names(raw))
-    n_source = (nulls.first() or {"n_rows": 0})["n_rows"]
-
-    prepared, features = prepare(raw, config)
-    cleaned = clean_trips(raw, config)
+    source, nulls, n_source = profile(spark, raw)
+    cleaned, prepared, features = prepare(raw, config)
     n_clean, n_timed = cleaned.agg(F.count(F.lit(1)), F.count(config.time)).first()
 
     training = prepared.filter(F.col("split") == "train")
