@@ -21,6 +21,8 @@ from pyspark.ml.regression import (
 )
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from headway.session import shared_dir
+
 log = logging.getLogger(__name__)
 
 SEED = 42
@@ -77,7 +79,9 @@ class ModelRun:
 def spread(df: DataFrame) -> DataFrame:
     """Give every core a part when the input has fewer files than there are cores.
 
-    Large inputs already have more partitions than cores and are left alone.
+    Large inputs already have more partitions than cores and are left alone. Meant
+    for rows filtered off a scan: counting the partitions of a plan with a shuffle
+    would run the shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
@@ -128,8 +132,14 @@ def forest(seed: int = SEED, max_memory_mb: int = 512, **params) -> Fit:
 
 
 def boosted(seed: int = SEED, **overrides) -> Fit:
+    """Boosted trees; every tenth round is checkpointed to keep the lineage short."""
     params = {**BOOSTED, **overrides}
-    return lambda data: GBTRegressor(**data.columns(), seed=seed, **params).fit(spread(data.train))
+
+    def fit(data: TrainingData) -> Model:
+        shared_dir(data.train.sparkSession)
+        return GBTRegressor(**data.columns(), seed=seed, **params).fit(spread(data.train))
+
+    return fit
 
 
 def best_round(errors: Sequence[float], patience: int) -> tuple[int, bool]:
@@ -144,16 +154,21 @@ def best_round(errors: Sequence[float], patience: int) -> tuple[int, bool]:
 
 
 def first_rounds(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
-    """The model as it was after some rounds: its first trees and their weights."""
+    """The model as it was after some rounds: its first trees and their weights.
+
+    Spark's public constructor for this is on the JVM side only. A new fit with
+    fewer rounds gives the same trees, at the cost of fitting them again.
+    """
     if rounds >= model.getNumTrees:
         return model
-    jvm = model._java_obj
-    gateway = SparkContext._active_spark_context._jvm
-    cut = gateway.java.util.Arrays.copyOf
+    context = SparkContext._active_spark_context
+    regression = context._jvm.org.apache.spark.ml.regression
+    trees = context._gateway.new_array(regression.DecisionTreeRegressionModel, rounds)
+    weights = context._gateway.new_array(context._jvm.double, rounds)
+    for i, (tree, weight) in enumerate(zip(model.trees[:rounds], model.treeWeights)):
+        trees[i], weights[i] = tree._java_obj, float(weight)
     shorter = GBTRegressionModel(
-        gateway.org.apache.spark.ml.regression.GBTRegressionModel(
-            f"{model.uid}_{rounds}", cut(jvm.trees(), rounds), cut(jvm.treeWeights(), rounds)
-        )
+        regression.GBTRegressionModel(f"{model.uid}_{rounds}", trees, weights)
     )
     shorter.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
     return shorter
@@ -175,6 +190,7 @@ def early_stopped(
     params = {**EARLY_STOPPED, **overrides}
 
     def fit(data: TrainingData) -> Model:
+        shared_dir(data.train.sparkSession)
         train, val = spread(data.train).persist(), data.val.persist()
         try:
             rounds = min(first_block, max_rounds)

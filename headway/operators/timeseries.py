@@ -9,17 +9,26 @@ Z95 = 1.959963984540054
 
 
 def daily_errors(df: DataFrame, time: str, label: str, prediction: str) -> DataFrame:
-    """Daily means of label, prediction and error; days without rows are there as nulls."""
+    """Daily means of label, prediction and error; days without rows are there as nulls.
+
+    Each day that has rows stretches to the day before the next one, so the rows
+    are read once and no calendar has to be joined.
+    """
     p, y = F.col(prediction), F.col(label)
     daily = (
         df.filter(F.col(time).isNotNull())
         .groupBy(F.to_date(time).alias("day"))
         .agg(F.avg(y).alias("actual"), F.avg(p).alias("predicted"), F.avg(p - y).alias("error"))
     )
-    days = daily.agg(F.min("day").alias("first"), F.max("day").alias("last")).select(
-        F.explode(F.sequence("first", "last", F.expr("INTERVAL 1 DAY"))).alias("day")
+    following = F.lead("day").over(Window.orderBy("day"))  # one row per day
+    until = F.coalesce(F.date_sub(following, 1), F.col("day"))
+    stretched = daily.withColumn("until", until).select(
+        "*", F.explode(F.sequence("day", "until")).alias("date")
+    )
+    values = ("actual", "predicted", "error")
+    return stretched.select(
+        F.col("date").alias("day"), *[F.when(F.col("date") == F.col("day"), F.col(c)).alias(c) for c in values]
     )
-    return days.join(daily, "day", "left")
 
 
 def error_autocorrelation(daily: DataFrame, error: str = "error", lags: int = 30) -> DataFrame:
