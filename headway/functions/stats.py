@@ -35,8 +35,10 @@ def correlation(a: Column, b: Column) -> Column:
     """Pearson correlation over rows with both; null where one does not vary.
 
     ``F.corr`` divides by the spread and fails on a constant under ANSI rules.
+    ``F.regr_r2`` does not: for a constant it is null or 1, with no covariance.
     """
-    return F.try_divide(F.regr_sxy(a, b), F.sqrt(F.regr_sxx(a, b) * F.regr_syy(a, b)))
+    together, share = F.covar_pop(a, b), F.regr_r2(a, b)
+    return F.when(together != 0, F.signum(together) * F.sqrt(share)).when(share == 0, 0.0)
 
 
 def r2_corr(label: Column, prediction: Column) -> Column:

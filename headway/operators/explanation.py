@@ -11,6 +11,7 @@ from pyspark.ml.util import MLWritable
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from headway.functions.stats import correlation
+from headway.operators import modeling
 from headway.session import shared_dir
 
 IMPORTANCE_SCHEMA = T.StructType(
@@ -115,7 +116,8 @@ def partial_dependence(
             grid.append(F.struct(F.lit(f).alias("feature"), F.lit(i).alias("step"), F.lit(at).alias("point")))
     if not grid:
         raise ValueError("no values to run over")
-    laid = df.select(*[F.col(c).cast("double").alias(c) for c in inputs], F.inline(F.array(*grid)))
+    rows = modeling.spread(df.select(*[F.col(c).cast("double").alias(c) for c in inputs]))
+    laid = rows.select("*", F.inline(F.array(*grid)))
     moved = laid.withColumns(
         {f: F.when(F.col("feature") == f, F.col("point")).otherwise(F.col(f)) for f in features}
     )
