@@ -170,8 +170,10 @@ def first_rounds(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
     shorter = GBTRegressionModel(
         regression.GBTRegressionModel(f"{model.uid}_{rounds}", trees, weights)
     )
-    shorter.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
-    return shorter
+    for param, value in model.extractParamMap().items():
+        if param.name != "maxIter" and shorter.hasParam(param.name):
+            shorter.set(shorter.getParam(param.name), value)
+    return shorter.copy()  # hands the settings to the JVM side
 
 
 def early_stopped(

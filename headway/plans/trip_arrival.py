@@ -114,6 +114,8 @@ def _evaluate(
     predictions: DataFrame, config: RunConfig, names: Sequence[str], seconds: dict[str, float], first: int = 0
 ) -> tuple[list, list]:
     """Metric rows and evaluation rows of some models; a handful of values each."""
+    if not names:
+        return [], []
     columns = {n: modeling.prediction_column(n) for n in names}
     rows = [
         row.asDict() | {"model_order": row["model_order"] + first}
