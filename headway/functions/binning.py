@@ -1,11 +1,12 @@
 """Equal-width edges and the three ways values are put into bins.
 
 ``lo`` and ``hi`` may be columns or plain numbers, so the same expressions serve
-per-row edges and edges fitted beforehand.
+edges that differ by row and edges fitted beforehand.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
@@ -16,28 +17,29 @@ def _column(value) -> Column:
     return value if isinstance(value, Column) else F.lit(float(value))
 
 
-def edge(lo, hi, i: int, k: int) -> Column:
-    """The i-th of k evenly spaced points; the last is ``hi`` itself."""
+def edges(lo, hi, k: int) -> list[Column]:
+    """k evenly spaced points; the last is ``hi`` itself."""
     lo, hi = _column(lo), _column(hi)
-    return hi if i == k - 1 else lo + F.lit(float(i)) * ((hi - lo) / F.lit(float(k - 1)))
+    step = (hi - lo) / F.lit(float(k - 1))
+    return [lo + F.lit(float(i)) * step for i in range(k - 1)] + [hi]
 
 
 def linspace(lo, hi, k: int) -> Column:
-    return F.array(*[edge(lo, hi, i, k) for i in range(k)])
+    return F.array(*edges(lo, hi, k))
 
 
-def digitize(x: Column, lo, hi, k: int = 5) -> Column:
-    """Number of edges at or below ``x``: 0 under the range, k at or over its end."""
-    reached = [F.when(x >= edge(lo, hi, i, k), 1).otherwise(0) for i in range(k)]
-    return F.when(x.isNotNull() & _column(lo).isNotNull(), reduce(add, reached))
+def digitize(x: Column, points: Sequence[Column]) -> Column:
+    """Number of edges at or below ``x``: 0 under the range, all of them at or over its end."""
+    reached = [F.when(x >= point, 1).otherwise(0) for point in points]
+    return F.when(x.isNotNull() & points[0].isNotNull(), reduce(add, reached))
 
 
-def cut(x: Column, lo, hi, k: int = 5) -> Column:
-    """Right-closed bins 1..k-1, the lowest edge included; null outside."""
-    chain = F.when(x < edge(lo, hi, 0, k), F.lit(None).cast("int"))
-    for i in range(1, k):
-        chain = chain.when(x <= edge(lo, hi, i, k), i)
-    return F.when(_column(lo) < _column(hi), chain)
+def cut(x: Column, points: Sequence[Column]) -> Column:
+    """Right-closed bins from 1, the lowest edge included; null outside."""
+    chain = F.when(x < points[0], F.lit(None).cast("int"))
+    for i, point in enumerate(points[1:], start=1):
+        chain = chain.when(x <= point, i)
+    return F.when(points[0] < points[-1], chain)
 
 
 def edge_label(lo: Column, hi: Column, separator: str = "-") -> Column:

@@ -8,11 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, functions as F
 
 
-def both_present(label: Column, prediction: Column) -> tuple[Column, Column]:
-    """Label and prediction, each null unless both are there."""
-    return F.when(prediction.isNotNull(), label), F.when(label.isNotNull(), prediction)
-
-
 def rmse(label: Column, prediction: Column) -> Column:
     return F.sqrt(F.avg((prediction - label) * (prediction - label)))
 
@@ -20,13 +15,13 @@ def rmse(label: Column, prediction: Column) -> Column:
 def r2(label: Column, prediction: Column) -> Column:
     """One minus residual over total sum of squares; null for fewer than two rows.
 
-    A constant label counts as 1 when it is hit exactly and as 0 otherwise.
+    A constant label counts as 1 when it is hit exactly and as 0 otherwise. Rows
+    count where both are there.
     """
-    y, p = both_present(label, prediction)
-    miss = F.avg((p - y) * (p - y))
-    spread = F.var_pop(y)
+    miss = F.avg((prediction - label) * (prediction - label))
+    spread = F.var_pop(F.when(prediction.isNotNull(), label))
     return F.when(
-        F.count(y) >= 2,
+        F.count(prediction - label) >= 2,
         F.when(spread > 0, 1 - miss / spread).otherwise(F.when(miss == 0, 1.0).otherwise(0.0)),
     )
 

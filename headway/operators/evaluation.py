@@ -156,17 +156,18 @@ def confusion(
         raise ValueError(f"unknown kind {kind!r}")
     binned = {"digitize": binning.digitize, "cut": binning.cut}[kind]
     # One row per split, of which there are three.
-    ends = df.groupBy(F.col(split).alias("split")).agg(F.min(label).alias("lo"), F.max(label).alias("hi"))
-    lo, hi = F.col("lo"), F.col("hi")
-    pairs = F.array(
-        *[
-            F.struct(F.lit(name).alias("model"), binned(F.col(f"`{c}`"), lo, hi, k).alias("predicted_bin"))
-            for name, c in predictions.items()
-        ]
-    )
+    span = binning.edges(F.min(label), F.max(label), k)
+    points = [f"__edge{i}" for i in range(k)]
+    ends = df.groupBy(F.col(split).alias("split")).agg(*[e.alias(name) for e, name in zip(span, points)])
+    at = [F.col(name) for name in points]
     counts = (
         df.join(F.broadcast(ends), df[split] == ends["split"])
-        .select(ends["split"], binned(F.col(label), lo, hi, k).alias("actual_bin"), F.inline(pairs))
+        .select(
+            ends["split"],
+            binned(F.col(label), at).alias("actual_bin"),
+            *[binned(F.col(f"`{c}`"), at).alias(name) for name, c in predictions.items()],
+        )
+        .unpivot(["split", "actual_bin"], list(predictions), "model", "predicted_bin")
         .filter(F.col("actual_bin").isNotNull() & F.col("predicted_bin").isNotNull())
         .groupBy("model", "split", "actual_bin", "predicted_bin")
         .agg(F.count(F.lit(1)).alias("n"))

@@ -252,7 +252,7 @@ def least_squares_2d(spark, sf):
     return _linear(spark, sf, modeling.least_squares(), ("l_quantity", "l_linenumber"))
 
 
-GRID = ({"regParam": 0.3}, {"regParam": 300.0}, {"regParam": 30000.0})
+GRID = ({"regParam": 0.3}, {"regParam": 3.0}, {"regParam": 30.0})
 
 
 def grid_search(spark, sf):

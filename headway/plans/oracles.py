@@ -257,7 +257,7 @@ def _elastic(penalty: str) -> str:
 
 GRID_SEARCH = f"""
 WITH {ITEM_MOMENTS},
-grid AS (SELECT unnest([0.3::DOUBLE, 300.0::DOUBLE, 30000.0::DOUBLE]) AS reg_param),
+grid AS (SELECT unnest([0.3::DOUBLE, 3.0::DOUBLE, 30.0::DOUBLE]) AS reg_param),
 w AS (SELECT m.*, reg_param, {_elastic("reg_param")} AS wx FROM m, grid),
 errors AS (
   SELECT reg_param, sqrt(avg(pow(my + wx * (x - mx) - y, 2))) AS rmse

@@ -55,19 +55,19 @@ def test_digitize_and_linspace_match_numpy(spark):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     edges = np.linspace(0, 10, 5)
     assert df.select(binning.linspace(0.0, 10.0, 5)).first()[0] == list(edges)
-    got = [r[0] for r in df.select(binning.digitize(F.col("x"), 0.0, 10.0)).collect()]
+    got = [r[0] for r in df.select(binning.digitize(F.col("x"), binning.edges(0.0, 10.0, 5))).collect()]
     assert got == list(np.digitize(values, edges))
 
 
 def test_digitize_of_a_constant_and_of_null(spark):
     df = spark.createDataFrame([(3.0,), (2.0,), (None,)], "x double")
-    assert [r[0] for r in df.select(binning.digitize(F.col("x"), 3.0, 3.0)).collect()] == [5, 0, None]
+    assert [r[0] for r in df.select(binning.digitize(F.col("x"), binning.edges(3.0, 3.0, 5))).collect()] == [5, 0, None]
 
 
 def test_cut_is_closed_on_the_right(spark):
     values = [-0.1, 0.0, 2.5, 2.6, 5.0, 10.0, 10.1, None]
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    got = [r[0] for r in df.select(binning.cut(F.col("x"), 0.0, 10.0)).collect()]
+    got = [r[0] for r in df.select(binning.cut(F.col("x"), binning.edges(0.0, 10.0, 5))).collect()]
     assert got == [None, 1, 1, 2, 2, 4, None, None]
 
 
