@@ -6,7 +6,6 @@ with the SQL in ``oracles``; the operators themselves return unrounded values.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline
@@ -20,7 +19,7 @@ from headway.functions.parsing import epoch_seconds
 from headway.operators import charts, cleaning, evaluation, explanation, modeling, ordering, preparation, timeseries
 from headway.plans import trip_arrival
 from headway.schema import CALENDAR, ENSEMBLE
-from headway.session import shared_dir, use_utc
+from headway.session import use_utc
 from headway.sources import reading, writing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -522,13 +521,9 @@ def model_timing(spark, sf):
 
 # --- sinks and the whole run -------------------------------------------------
 
-def _folder(spark, name: str) -> str:
-    return f"{shared_dir(use_utc(spark))}/headway/{name}-{uuid.uuid4().hex}"
-
-
 def sink_roundtrip(spark, sf):
     """Predictions written as CSV and read back with the trip reader."""
-    path = _folder(spark, "predictions-csv")
+    path = writing.scratch_folder(spark, "predictions-csv")
     writing.write_predictions(_typed(spark, sf), path, "event_id", "value", "p_type")
     back = reading.read_trips_csv(spark, path)
     typed = cleaning.cast_numeric(back, ["value", "prediction"])
@@ -538,7 +533,7 @@ def sink_roundtrip(spark, sf):
 
 
 def evaluation_sink(spark, sf):
-    path = _folder(spark, "evaluation-csv")
+    path = writing.scratch_folder(spark, "evaluation-csv")
     writing.write_evaluation(_evaluated(spark, sf), path)
     back = cleaning.cast_numeric(reading.read_trips_csv(spark, path), ["Train_RMSE", "Test_RMSE", "Val_RMSE", "Test_R2"])
     return _rounded_table(back.drop("Training_Time"))
@@ -551,7 +546,7 @@ def model_roundtrip(spark, sf):
     stages = preparation.feature_stages(["l_quantity", "l_linenumber"]).getStages()
     least_squares = modeling.LinearRegression(featuresCol="scaledFeatures", labelCol="l_extendedprice", regParam=0.0)
     fitted = Pipeline(stages=[*stages, least_squares]).fit(split.rows(items, "train"))
-    path = _folder(spark, "model")
+    path = writing.scratch_folder(spark, "model")
     writing.save_model(fitted, path)
     scored = split.apply(writing.load_model(path).transform(items))
     errors = evaluation.metrics(scored, "l_extendedprice", {"loaded": "prediction"})

@@ -1,17 +1,19 @@
 """The whole job: trips in, models, errors, explanations and result files out.
 
-Two tables are staged in the shared folder: the prepared rows (partitioned by
-split, so fitting on the training rows reads only those) and the rows with all
-predictions. Everything after that is an aggregate over the second one.
+The source is read once: cleaning, features and the counts of the source report
+are one narrow pass that ends in a staged table. The split is a comparison with
+two constants on that table, so no row is moved for it. All models are scored in
+one pass into a second staged table, partitioned by split; what follows are
+aggregates over it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Model, PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from headway.functions.calendar import calendar_columns
 from headway.operators import charts, cleaning, evaluation, explanation, modeling, ordering, preparation, timeseries
@@ -41,14 +43,23 @@ class RunConfig:
 
 
 @dataclass
-class RunResult:
+class Prepared:
+    """Cleaned rows as staged, what was counted on the way, and the three parts."""
+
+    rows: DataFrame
+    features: list[str]
     source: DataFrame
     nulls: DataFrame
     n_source: int
     n_clean: int
     n_without_time: int
-    prepared: DataFrame
-    features: list[str]
+    part: Callable[[DataFrame, str], DataFrame]
+
+
+@dataclass
+class RunResult:
+    folder: str
+    prepared: Prepared
     feature_model: PipelineModel
     runs: list[modeling.ModelRun]
     predictions: DataFrame
@@ -66,48 +77,63 @@ class RunResult:
         return PipelineModel(stages=[*self.feature_model.stages, self.model(name)])
 
 
-def clean_trips(raw: DataFrame, config: RunConfig) -> DataFrame:
-    """Names, numbers, time, required columns, calendar features: one narrow pass."""
-    df = cleaning.normalize_names(raw)
-    df = cleaning.cast_numeric(df, config.numeric)
+def clean_trips(named: DataFrame, config: RunConfig) -> DataFrame:
+    """Numbers, time, required columns, calendar features: one narrow pass."""
+    df = cleaning.cast_numeric(named, config.numeric)
     df = cleaning.parse_time(df, config.time)
     df = cleaning.drop_incomplete(df, config.required)
     return df.withColumns(calendar_columns(F.col(config.time), config.month_end))
 
 
-def profile(spark: SparkSession, raw: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """Source report, null profile and row count from one pass over the source."""
-    named = cleaning.normalize_names(raw)
-    kinds = {f.name: f.dataType.simpleString() for f in named.schema.fields}
-    rows = cleaning.null_profile(named).collect()  # one row per column
-    n = rows[0]["n_rows"] if rows else 0
-    source = spark.createDataFrame(
-        [(r["column"], kinds[r["column"]], n) for r in rows], "column string, type string, n_rows bigint"
-    )
-    nulls = spark.createDataFrame([tuple(r) for r in rows], "column string, n_null bigint, n_rows bigint")
-    return source, nulls, n
-
-
-def prepare(raw: DataFrame, config: RunConfig) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Clean, number and split the rows: (cleaned, prepared, features), both staged.
+def prepare(spark: SparkSession, raw: DataFrame, config: RunConfig, folder: str) -> Prepared:
+    """Clean, count and number the rows in the pass that stages them, then find the split.
 
-    Rows get an id when they are written first, which makes their order by time
-    unique from then on. The prepared rows are partitioned by split.
+    Rows get an id when they are written, which makes their order by time unique
+    from then on.
     """
-    cleaned = clean_trips(raw, config)
+    named = cleaning.normalize_names(raw)
+    kinds = [(f.name, f.dataType.simpleString()) for f in named.schema.fields]
+    before, after = Observation(), Observation()
+    watched = named.observe(
+        before,
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count_if(F.col(name).isNull()).alias(f"nulls {i}") for i, (name, _) in enumerate(kinds)],
+    )
+    cleaned = clean_trips(watched, config).observe(
+        after, F.count(F.lit(1)).alias("rows"), F.count(config.time).alias("timed")
+    )
     features = cleaning.available(cleaned, config.features)
     kept = dict.fromkeys([config.time, config.label, *features, *config.categorical])
-    rows = writing.stage(
+    staged = writing.stage(
         cleaned.select(*kept)
         .withColumns({c: F.col(c).cast("double") for c in features})
         .withColumn(ROW_ID, F.monotonically_increasing_id()),
         "cleaned",
+        folder=folder,
     )
+    counted, timed = before.get, after.get
+    n = counted["rows"]
+    source = spark.createDataFrame(
+        [(name, kind, n) for name, kind in kinds], "column string, type string, n_rows bigint"
+    )
+    nulls = spark.createDataFrame(
+        [(name, counted[f"nulls {i}"], n) for i, (name, _) in enumerate(kinds)],
+        "column string, n_null bigint, n_rows bigint",
+    )
+
     if config.random_split:
-        parted = ordering.hash_split(rows.filter(F.col(config.time).isNotNull()), ROW_ID)
+        rows = ordering.hash_split(staged.filter(F.col(config.time).isNotNull()), ROW_ID)
+
+        def part(df: DataFrame, name: str) -> DataFrame:
+            return df.filter(F.col("split") == name)
     else:
-        parted = ordering.chrono_split(rows, config.time, [ROW_ID], config.train_share, config.test_share)
-    return rows, writing.stage(parted, "prepared", ["split"]), features
+        split = ordering.fit_chrono_split(
+            staged, config.time, [ROW_ID], config.train_share, config.test_share
+        )
+        rows, part = split.apply(staged), split.rows
+    return Prepared(
+        rows, features, source, nulls, n, timed["rows"], timed["rows"] - timed["timed"], part
+    )
 
 
 def _evaluate(
@@ -135,28 +161,33 @@ def _evaluate(
 
 
 def run(spark: SparkSession, raw: DataFrame, config: RunConfig = RunConfig()) -> RunResult:
-    """Run the job on trips as read; nothing is written but staged tables."""
-    use_utc(spark)
-    source, nulls, n_source = profile(spark, raw)
-    cleaned, prepared, features = prepare(raw, config)
-    n_clean, n_timed = cleaned.agg(F.count(F.lit(1)), F.count(config.time)).first()
+    """Run the job on trips as read; nothing is written but staged tables.
 
-    training = prepared.filter(F.col("split") == "train")
+    Once the results are exported, ``writing.discard(spark, result.folder)``
+    removes the staged tables.
+    """
+    use_utc(spark)
+    folder = writing.scratch_folder(spark, "run")
+    prepared = prepare(spark, raw, config, folder)
+    features = prepared.features
+    training = prepared.part(prepared.rows, "train")
     feature_model = preparation.fit_features(
-        training if config.fit_on == "train" else prepared, features, config.categorical
+        training if config.fit_on == "train" else prepared.rows, features, config.categorical
     )
-    scaled = feature_model.transform(prepared)
+    scaled = feature_model.transform(prepared.rows)
 
     def part(name: str) -> DataFrame:
-        return scaled.filter(F.col("split") == name).select("scaledFeatures", config.label)
+        return prepared.part(scaled, name).select("scaledFeatures", config.label)
 
     runs = modeling.train_all(config.specs, modeling.TrainingData(part("train"), part("val"), config.label))
     names = [r.name for r in runs if r.status == "ok"]
     seconds = {r.name: r.seconds for r in runs}
 
-    kept = [ROW_ID, config.time, "split", config.label, *features]
-    scored = modeling.score(scaled, runs).select(*kept, *[f"`{modeling.prediction_column(n)}`" for n in names])
-    predictions = writing.stage(scored, "predictions", ["split"])
+    # Features go along as imputed, in their own units: explanations are read in those.
+    imputed = [F.col(f"{c}_filled").alias(c) for c in features]
+    predicted = [f"`{modeling.prediction_column(n)}`" for n in names]
+    scored = modeling.score(scaled, runs).select(ROW_ID, config.time, "split", config.label, *imputed, *predicted)
+    predictions = writing.stage(scored, "predictions", ["split"], folder)
 
     metric_rows, table = _evaluate(predictions, config, names, seconds)
     by = {"test": 2, "val": 3}[config.select_on]
@@ -187,8 +218,7 @@ def run(spark: SparkSession, raw: DataFrame, config: RunConfig = RunConfig()) ->
         "Training_Time double, model_order int",
     )
     result = RunResult(
-        source, nulls, n_source, n_clean, n_clean - n_timed, prepared, features, feature_model,
-        runs, predictions, metrics, evaluated, members, best, {},
+        folder, prepared, feature_model, runs, predictions, metrics, evaluated, members, best, {}
     )
     result.tables = chart_tables(spark, result, config, names)
     return result
@@ -230,7 +260,7 @@ def chart_tables(spark: SparkSession, result: RunResult, config: RunConfig, name
     single = result.best if result.best != ENSEMBLE else result.members[0]
     if config.categorical:
         return tables
-    importance = explanation.importance_table(spark, result.model(single), result.features)
+    importance = explanation.importance_table(spark, result.model(single), result.prepared.features)
     top = explanation.top_features(importance, 10)
     single_column = modeling.prediction_column(single)
     y = config.label if config.dependence_on == "label" else "prediction"
@@ -240,7 +270,7 @@ def chart_tables(spark: SparkSession, result: RunResult, config: RunConfig, name
     tables["dependence_lines"] = explanation.dependence_lines(explained, top[:5], y)
     tables["correlation"] = explanation.correlation_matrix(explained, top)
     tables["partial_dependence"] = explanation.partial_dependence(
-        result.pipeline(single), test, top[:3], result.features
+        result.pipeline(single), test, top[:3], result.prepared.features
     )
     return tables
 

@@ -55,13 +55,25 @@ def load_ensemble(spark: SparkSession, path: str) -> dict[str, PipelineModel]:
     return {r["member"]: load_model(f"{path}/members/{r['member']}") for r in listed.orderBy("position").collect()}
 
 
-def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new path of its own in the shared folder."""
+    return f"{shared_dir(spark)}/headway/{name}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, name: str, partition_by: Sequence[str] = (), folder: str | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     What is used many times is computed once, and the loss of an executor costs
     no recomputation.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/headway/{name}-{uuid.uuid4().hex}"
+    path = f"{folder}/{name}" if folder else scratch_folder(df.sparkSession, name)
     df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of staged tables; nothing outside the package's own is touched."""
+    if not folder.startswith(f"{shared_dir(spark)}/headway/"):
+        raise ValueError(f"{folder} holds no staged tables")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

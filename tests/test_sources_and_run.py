@@ -1,9 +1,10 @@
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from headway.operators import modeling
+from headway.operators import cleaning, modeling
 from headway.operators.modeling import ModelSpec
 from headway.plans import trip_arrival
 from headway.plans.trip_arrival import RunConfig
@@ -39,21 +40,24 @@ def result(spark, csv_path, config):
 
 def test_counts_of_a_dirty_source(spark, csv_path, config, result):
     raw = reading.read_trips_csv(spark, csv_path)
-    assert result.n_source == raw.count() == 4000
-    assert 0 < result.n_without_time < result.n_clean < 4000
-    assert result.prepared.count() == result.n_clean - result.n_without_time
-    nulls = {r["column"]: r["n_null"] for r in result.nulls.collect()}
+    prepared = result.prepared
+    assert prepared.n_source == raw.count() == 4000
+    assert 0 < prepared.n_without_time < prepared.n_clean < 4000
+    assert prepared.rows.count() == prepared.n_clean - prepared.n_without_time
+    named = cleaning.normalize_names(raw)
+    assert sorted(prepared.nulls.collect()) == sorted(cleaning.null_profile(named).collect())
+    assert sorted(prepared.source.collect()) == sorted(cleaning.source_report(named).collect())
+    nulls = {r["column"]: r["n_null"] for r in prepared.nulls.collect()}
     assert nulls["OriginName"] > 0 and nulls["NextStopPointName"] == 0
     assert nulls["OriginLat"] == 0  # unreadable, not missing
-    assert {r["n_rows"] for r in result.source.collect()} == {4000}
 
 
 def test_split_and_features(result):
-    n = result.prepared.count()
-    counts = {r["split"]: r["count"] for r in result.prepared.groupBy("split").count().collect()}
+    n = result.prepared.rows.count()
+    counts = {r["split"]: r["count"] for r in result.prepared.rows.groupBy("split").count().collect()}
     assert counts == {"train": int(0.7 * n), "test": int(0.2 * n), "val": n - int(0.7 * n) - int(0.2 * n)}
-    assert result.features == list(FEATURES)
-    ends = {r["split"]: (r["lo"], r["hi"]) for r in result.prepared.groupBy("split").agg(
+    assert result.prepared.features == list(FEATURES)
+    ends = {r["split"]: (r["lo"], r["hi"]) for r in result.prepared.rows.groupBy("split").agg(
         F.min(TIME).alias("lo"), F.max(TIME).alias("hi")).collect()}
     assert ends["train"][1] <= ends["test"][0] and ends["test"][1] <= ends["val"][0]
 
@@ -101,7 +105,7 @@ def test_export_and_reload(spark, result, config, tmp_path):
 def test_loaded_pipeline_predicts_the_same(spark, result, tmp_path):
     path = str(tmp_path / "model")
     writing.save_model(result.pipeline("Forest"), path)
-    rows = result.prepared.filter("split = 'val'")
+    rows = result.prepared.rows.filter("split = 'val'")
     again = writing.load_model(path).transform(rows).select("row_id", "prediction")
     both = again.join(result.predictions.select("row_id", "pred_Forest"), "row_id")
     assert both.count() == rows.count()
@@ -123,7 +127,7 @@ def test_other_choices(spark):
     result = trip_arrival.run(spark, clean_trips(spark, 1000), config)
     assert result.members == [] and result.best == "LinearRegression"
     assert "importance" not in result.tables
-    assert result.prepared.count() == 1000
+    assert result.prepared.rows.count() == 1000
 
 
 def test_no_model_still_gives_a_table(spark):
@@ -147,6 +151,17 @@ def test_stage_keeps_rows_and_partitions(spark):
     assert "PartitionFilters: [isnotnull(part" in plan
 
 
+def test_staged_tables_can_be_discarded(spark):
+    folder = writing.scratch_folder(spark, "test")
+    writing.stage(spark.range(3), "numbers", folder=folder)
+    assert spark.read.parquet(f"{folder}/numbers").count() == 3
+    writing.discard(spark, folder)
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(f"{folder}/numbers")
+    with pytest.raises(ValueError):
+        writing.discard(spark, "/somewhere/else")
+
+
 def test_table_times_without_zone_become_timestamps(spark, tmp_path):
     spark.sql("SELECT TIMESTAMP_NTZ '2024-01-02 03:04:05' AS t").write.parquet(str(tmp_path / "times.parquet"))
     df = reading.read_table(spark, str(tmp_path), "times")
