@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from itertools import combinations
 
@@ -11,7 +10,7 @@ from pyspark.ml.util import MLWritable
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from headway.operators import modeling
-from headway.session import shared_dir
+from headway.sources.writing import discard, scratch_folder
 
 IMPORTANCE_SCHEMA = T.StructType(
     [
@@ -49,18 +48,25 @@ def gain_importance(spark, model: MLWritable, features: Sequence[str]) -> DataFr
     Spark saves a tree model as a table of nodes; the gains are aggregated there.
     Features that no node splits on are absent.
     """
-    path = f"{shared_dir(spark)}/headway/nodes-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, "nodes")
     model.write().overwrite().save(path)
     nodes = spark.read.parquet(f"{path}/data").select("nodeData.*").filter(F.col("leftChild") >= 0)
-    names = F.element_at(F.array(*[F.lit(f) for f in features]), F.col("feature_index") + 1)
-    gains = nodes.groupBy(F.col("split.featureIndex").alias("feature_index")).agg(
-        F.avg("gain").alias("mean_gain"), F.sum("gain").alias("total_gain"), F.count("gain").alias("n_splits")
+    found = (
+        nodes.groupBy(F.col("split.featureIndex").alias("feature_index"))
+        .agg(F.avg("gain").alias("mean_gain"), F.sum("gain").alias("total_gain"), F.count("gain").alias("n_splits"))
+        .collect()  # one row per feature
+    )
+    discard(spark, path)
+    everything = sum(row["total_gain"] for row in found)
+    rows = [
+        (features[r["feature_index"]], r["feature_index"], r["mean_gain"], r["total_gain"], r["n_splits"],
+         r["total_gain"] / everything if everything else None)
+        for r in sorted(found, key=lambda r: (-r["mean_gain"], r["feature_index"]))
+    ]
+    return spark.createDataFrame(
+        rows,
+        "feature string, feature_index int, mean_gain double, total_gain double, n_splits bigint, gain_share double",
     )
-    everything = gains.agg(F.sum("total_gain")).scalar()
-    return gains.select(
-        names.alias("feature"), "feature_index", "mean_gain", "total_gain", "n_splits",
-        (F.col("total_gain") / everything).alias("gain_share"),
-    ).orderBy(F.desc("mean_gain"), "feature_index")
 
 
 def dependence_points(df: DataFrame, features: Sequence[str], y: str) -> DataFrame:

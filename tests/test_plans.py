@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from headway.functions.calendar import calendar_columns
-from headway.operators import charts, evaluation, explanation, ordering, timeseries
+from headway.operators import charts, cleaning, evaluation, explanation, ordering, timeseries
 from headway.plans import catalog
 from headway.sources.reading import read_table
 
@@ -37,8 +37,8 @@ def test_features_are_one_projection_of_the_columns_needed(events):
 def test_metrics_of_all_models_are_one_aggregation(events):
     df = events.select(F.lit("train").alias("split"), "value", *[(F.col("value") + i).alias(f"p{i}") for i in range(8)])
     plan = _plan(evaluation.metrics(df, "value", {f"m{i}": f"p{i}" for i in range(8)}))
-    assert plan.count("FileScan") == 1 and "Generate explode" not in plan
-    assert "Join" not in plan
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+    assert "Join" not in plan and "partial_avg" in plan
 
 
 def test_row_number_sorts_within_ranges(spark, events):
@@ -56,6 +56,38 @@ def test_rows_are_read_once(events):
     assert _plan(charts.bins_2d(scored, "value", "user_id")).count("FileScan") == 1
 
 
+def _jobs(spark, make) -> int:
+    context = spark.sparkContext
+    group = f"jobs-{make.__name__}-{id(make)}"
+    context.setJobGroup(group, "count jobs")
+    try:
+        make().collect()
+        return len(context.statusTracker().getJobIdsForGroup(group))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_jobs_do_not_grow_with_columns_or_models(spark, events):
+    def profile(n):
+        wide = events.withColumns({f"c{i}": F.col("value") + i for i in range(n)})
+
+        def make():
+            return cleaning.null_profile(wide)
+
+        return make
+
+    def errors(n):
+        wide = events.withColumns({f"p{i}": F.col("value") + i for i in range(n)})
+
+        def make():
+            return evaluation.metrics(wide, "value", {f"m{i}": f"p{i}" for i in range(n)}, "event_type")
+
+        return make
+
+    assert _jobs(spark, profile(1)) == _jobs(spark, profile(20))
+    assert _jobs(spark, errors(1)) == _jobs(spark, errors(8))
+
+
 @pytest.mark.parametrize("name", ["ols_metrics", "confusion_digitize", "partial_dependence", "standard_scale"])
 def test_no_python_on_the_rows_and_no_cross_join(spark, name):
     plan = _plan(catalog.QUERIES[name](spark, SF))
