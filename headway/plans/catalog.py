@@ -13,7 +13,6 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from headway.functions import binning
 from headway.functions.calendar import calendar_columns, is_month_end
 from headway.functions.parsing import epoch_seconds
 from headway.operators import charts, cleaning, evaluation, explanation, modeling, ordering, preparation, timeseries
@@ -204,13 +203,13 @@ def categorical_index(spark, sf):
 
 # --- linear models -----------------------------------------------------------
 
-def _vectors(df: DataFrame, features, label: str) -> DataFrame:
+def _vectors(df: DataFrame, features) -> DataFrame:
     numeric = df.withColumns({c: F.col(c).cast("double") for c in features})
     return VectorAssembler(inputCols=list(features), outputCol="scaledFeatures").transform(numeric)
 
 
 def _item_data(spark, sf, features=("l_quantity",)):
-    items = _vectors(_table(spark, sf, "lineitem"), features, "l_extendedprice")
+    items = _vectors(_table(spark, sf, "lineitem"), features)
     split = _item_split(items)
     data = modeling.TrainingData(split.rows(items, "train"), split.rows(items, "val"), "l_extendedprice")
     return items, split, data
@@ -268,7 +267,7 @@ def _ols_events(spark, sf) -> DataFrame:
     events = _table(spark, sf, "events")
     calendar = calendar_columns(F.col("ts"))
     events = events.withColumns({"Hour": calendar["Hour"], "DayOfMonth": calendar["DayOfMonth"]})
-    rows = _vectors(events, ["Hour", "DayOfMonth"], "value")
+    rows = _vectors(events, ["Hour", "DayOfMonth"])
     split = _event_split(rows)
     data = modeling.TrainingData(split.rows(rows, "train"), split.rows(rows, "val"), "value")
     model = modeling.least_squares()(data)
@@ -362,17 +361,13 @@ def ensemble_vs_components(spark, sf):
     return _rounded_table(evaluation.ensemble_vs_components(table, table.filter(parts), table.filter(whole)))
 
 
-def _typed(spark, sf) -> DataFrame:
-    return _predicted(spark, sf)
-
-
 def bin_edges(spark, sf):
-    edges = evaluation.bin_edges(_typed(spark, sf), "value")
+    edges = evaluation.bin_edges(_predicted(spark, sf), "value")
     return edges.select("split", F.col("edge_no").cast("bigint").alias("edge_no"), _round("edge").alias("edge"))
 
 
 def bin_labels(spark, sf):
-    labels = evaluation.bin_labels(evaluation.bin_edges(_typed(spark, sf), "value"))
+    labels = evaluation.bin_labels(evaluation.bin_edges(_predicted(spark, sf), "value"))
     return labels.select("split", F.col("bin").cast("bigint").alias("bin"), "label")
 
 
@@ -381,36 +376,36 @@ def _counts(df: DataFrame) -> DataFrame:
 
 
 def confusion_digitize(spark, sf):
-    return _counts(evaluation.confusion(_typed(spark, sf), "value", PREDICTORS))
+    return _counts(evaluation.confusion(_predicted(spark, sf), "value", PREDICTORS))
 
 
 def confusion_cut(spark, sf):
-    return _counts(evaluation.confusion(_typed(spark, sf), "value", PREDICTORS, kind="cut"))
+    return _counts(evaluation.confusion(_predicted(spark, sf), "value", PREDICTORS, kind="cut"))
 
 
 # --- chart tables ------------------------------------------------------------
 
 def residual_histogram(spark, sf):
-    table = charts.residual_histogram(_typed(spark, sf), "value", "p_type")
+    table = charts.residual_histogram(_predicted(spark, sf), "value", "p_type")
     return table.select(F.col("bin").cast("bigint").alias("bin"), _round("lo").alias("lo"), _round("hi").alias("hi"), "n")
 
 
 def scatter_bins(spark, sf):
-    return charts.bins_2d(_typed(spark, sf), "value", "prediction", 20).select(*_long("x_bin", "y_bin", "n"))
+    return charts.bins_2d(_predicted(spark, sf), "value", "prediction", 20).select(*_long("x_bin", "y_bin", "n"))
 
 
 def residual_bins(spark, sf):
-    rows = evaluation.with_error(_typed(spark, sf), "value", "prediction")
+    rows = evaluation.with_error(_predicted(spark, sf), "value", "prediction")
     return charts.bins_2d(rows, "prediction", "error", 20).select(*_long("x_bin", "y_bin", "n"))
 
 
 def qq_points(spark, sf):
-    points = charts.qq_points(_typed(spark, sf), "value", "p_type", "event_id")
+    points = charts.qq_points(_predicted(spark, sf), "value", "p_type", "event_id")
     return points.select("event_id", _round("residual").alias("residual"), F.col("rn").cast("bigint").alias("rn"), _round("x").alias("x"))
 
 
 def qq_line(spark, sf):
-    points = charts.qq_points(_typed(spark, sf), "value", "p_type", "event_id")
+    points = charts.qq_points(_predicted(spark, sf), "value", "p_type", "event_id")
     return charts.qq_line(points).select(*[_round(c, 5).alias(c) for c in ("slope", "intercept", "r")])
 
 
@@ -524,7 +519,7 @@ def model_timing(spark, sf):
 def sink_roundtrip(spark, sf):
     """Predictions written as CSV and read back with the trip reader."""
     path = writing.scratch_folder(spark, "predictions-csv")
-    writing.write_predictions(_typed(spark, sf), path, "event_id", "value", "p_type")
+    writing.write_predictions(_predicted(spark, sf), path, "event_id", "value", "p_type")
     back = reading.read_trips_csv(spark, path)
     typed = cleaning.cast_numeric(back, ["value", "prediction"])
     return typed.select(
