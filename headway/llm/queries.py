@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from headway.llm import html_text, sharding, url_filter
+from headway.llm import html_text, near_dedup, packing, quality, sharding, url_filter
 
 URL_RULES = (
     url_filter.Rule("block", "net", "/"),
@@ -26,16 +26,43 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(_table(spark, sf_dir, "pages"), URL_RULES, F.col("host").rlike(UNWANTED))
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(_table(spark, sf_dir, "pages"))
 
 
+def tokenizer() -> tuple[str, str, str]:
+    """The public vocabulary that the queries use, and the same one as ranks."""
+    import public_tokenizers
+
+    return (
+        public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer())
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.fit(docs, _table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select(
+        "doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op4_html_extraction, op8_sharding)
+    f.__name__: f for f in (
+        op1_url_filter, op2_minhash, op4_html_extraction, op7_packing, op8_sharding, op9_quality,
+    )
 }
 
 ORACLES: dict[str, str] = {
