@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from headway.llm import html_text, near_dedup, packing, quality, sharding, url_filter
+from headway.llm import html_text, mixing, near_dedup, packing, quality, sharding, url_filter
 
 URL_RULES = (
     url_filter.Rule("block", "net", "/"),
@@ -59,9 +59,23 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Domains of the labelled table, and the shares of all tokens they are to have.
+TARGETS = {"clean": 0.96, "low": 0.03, "toxic": 0.01}
+
+
+def domain() -> Column:
+    return F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "low").when(F.col("quality") == 1, "clean")
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return mixing.mix(docs, labels, domain(), TARGETS).drop("mark")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_filter, op2_minhash, op4_html_extraction, op7_packing, op8_sharding, op9_quality,
+        op10_mixing,
     )
 }
 
