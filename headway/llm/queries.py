@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from headway.llm import html_text, mixing, near_dedup, packing, quality, sharding, url_filter
+from headway.llm import embedding_dedup, fingerprints, html_text, mixing, near_dedup, packing, quality, sharding, url_filter
 
 URL_RULES = (
     url_filter.Rule("block", "net", "/"),
@@ -30,10 +30,18 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(_table(spark, sf_dir, "documents"))
+
+
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(_table(spark, sf_dir, "pages"))
 
 
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def tokenizer() -> tuple[str, str, str]:
     """The public vocabulary that the queries use, and the same one as ranks."""
     import public_tokenizers
@@ -74,7 +82,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_url_filter, op2_minhash, op4_html_extraction, op7_packing, op8_sharding, op9_quality,
+        op1_url_filter, op2_minhash, op3_fingerprints, op4_html_extraction, op5_embeddings, op7_packing, op8_sharding, op9_quality,
         op10_mixing,
     )
 }
