@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from headway.llm import embedding_dedup, fingerprints, html_text, mixing, near_dedup, packing, quality, sharding, url_filter
+from headway.llm import embedding_dedup, fingerprints, html_text, mixing, near_dedup, packing, quality, sharding, substring_dedup, url_filter
 
 URL_RULES = (
     url_filter.Rule("block", "net", "/"),
@@ -42,6 +42,10 @@ def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def tokenizer() -> tuple[str, str, str]:
     """The public vocabulary that the queries use, and the same one as ranks."""
     import public_tokenizers
@@ -82,7 +86,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_url_filter, op2_minhash, op3_fingerprints, op4_html_extraction, op5_embeddings, op7_packing, op8_sharding, op9_quality,
+        op1_url_filter, op2_minhash, op3_fingerprints, op4_html_extraction, op5_embeddings, op6_substrings, op7_packing, op8_sharding, op9_quality,
         op10_mixing,
     )
 }

@@ -51,3 +51,23 @@ def near_duplicates(rows, words: int, percent: int) -> dict[int, tuple[int, int]
                         links.append((a, b))
     found = components(sets, links)
     return {i: (len(s), found[i]) for i, s in sets.items()}
+
+
+def remove_repeats(rows, length: int = 200) -> list[tuple]:
+    """(id, bytes, removed, runs, rest) of each row, from counts of all strings of that length."""
+    counts: dict[bytes, int] = {}
+    raws = [(i, (t or "").encode()) for i, t in rows]
+    for _, raw in raws:
+        for at in range(len(raw) - length + 1):
+            piece = hash(raw[at : at + length])
+            counts[piece] = counts.get(piece, 0) + 1
+    out = []
+    for i, raw in raws:
+        gone = bytearray(len(raw))
+        for at in range(len(raw) - length + 1):
+            if counts[hash(raw[at : at + length])] > 1:
+                gone[at : at + length] = b"\x01" * length
+        rest = bytes(b for b, g in zip(raw, gone) if not g)
+        runs = sum(g and not before for g, before in zip(gone, b"\x00" + gone))
+        out.append((i, len(raw), sum(gone), runs, rest))
+    return out
