@@ -11,6 +11,7 @@ records on both sides. Only the last sequence is not full.
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -23,7 +24,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from headway.sources.writing import stage
 
-KEPT_WORDS = 600_000  # words whose ids a worker remembers, about 120 MB
+KEPT_WORDS = 300_000  # words whose ids a worker remembers, about 60 MB
+_ROWS = 256  # documents cut at once
+_BATCH = 1 << 20  # characters of text tokenised before the ids are handed on, beyond the last text
 _GAP = re.compile(r"(?<=\S) (?=\S)")
 _CODERS: dict[tuple, "WordCoder"] = {}  # of this worker process
 
@@ -38,10 +41,9 @@ class WordCoder:
     """
 
     def __init__(self, path: str, ranks_path: str | None = None, pattern: str | None = None):
-        from tokenizers import Tokenizer
-
-        self.whole = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.path, self._whole = path, None
+        with open(path, encoding="utf-8") as file:
+            self.special = [t["content"] for t in json.load(file).get("added_tokens", [])]
         self.kept: dict[str, bytes] = {}
         self.plain = None
         if ranks_path:  # the same vocabulary for a faster library
@@ -51,6 +53,15 @@ class WordCoder:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
             self.plain = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
+    @property
+    def whole(self):
+        """The tokenizer itself, read when it is first needed."""
+        if self._whole is None:
+            from tokenizers import Tokenizer
+
+            self._whole = Tokenizer.from_file(self.path)
+        return self._whole
+
     def _ids(self, piece: str) -> bytes:
         ids = self.plain(piece) if self.plain else self.whole.encode(piece, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
@@ -102,25 +113,31 @@ def tokenise(docs: DataFrame, tokenizer: tuple, separator: int = 0, id_col: str
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part, start = coder(*tokenizer), TaskContext.get().partitionId(), 0
         for batch in batches:
-            ids = [words.encode(t or "") + end for t in batch.column("text").to_pylist()]
-            n = [len(x) // 4 for x in ids]
-            starts = [start, *accumulate(n, initial=start)][1:-1] if n else []
-            start += sum(n)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([part] * len(n), pa.int32()), pa.array(starts, pa.int64()), batch.column("doc_id"),
-                    pa.array(n, pa.int64()), pa.array([_narrow(x) for x in ids], pa.binary()),
-                ],
-                names=["part", "local", "doc_id", "n", "ids"],
-            )
+            texts, done = batch.column("text"), 0
+            while done < len(texts):
+                ids, size = [], 0
+                while done + len(ids) < len(texts) and size < _BATCH:
+                    text = texts[done + len(ids)].as_py() or ""
+                    ids.append(_narrow(words.encode(text) + end))
+                    size += len(text)
+                n = [len(x) // w for x, w in ids]
+                starts = list(accumulate(n, initial=start))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([part] * len(n), pa.int32()), pa.array(starts[:-1], pa.int64()),
+                        batch.column("doc_id").slice(done, len(n)), pa.array(n, pa.int64()), pa.array([x for x, _ in ids], pa.binary()),
+                    ],
+                    names=["part", "local", "doc_id", "n", "ids"],
+                )
+                start, done = starts[-1], done + len(n)
 
     return wanted.mapInArrow(encode, f"part int, local bigint, doc_id {id_type}, n bigint, ids binary")
 
 
-def _narrow(ids: bytes) -> bytes:
-    """Two bytes for each id where they suffice; the width is told by the size and the count."""
+def _narrow(ids: bytes) -> tuple[bytes, int]:
+    """Two bytes for each id where they suffice, and how many it are."""
     values = np.frombuffer(ids, "<u4")
-    return values.astype("<u2").tobytes() if values.size and values.max() < 65536 else ids
+    return (values.astype("<u2").tobytes(), 2) if values.max() < 65536 else (ids, 4)
 
 
 def _wide(ids: bytes, n: int) -> np.ndarray:
@@ -150,7 +167,7 @@ def pack(
     id_type = placed.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, _ROWS) for b in batches for at in range(0, b.num_rows, _ROWS)):
             rows, pieces, source = [], [], []
             for i, (at, n, data) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("at", "n", "ids")))):
                 ids, first = _wide(data, n), 0
