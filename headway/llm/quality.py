@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 FEATURES = 4096
 LATENT = 64
-SAMPLE = 2500  # labelled texts of each label that the model is fitted on, at most
+SAMPLE = 1500  # labelled texts of each label that the model is fitted on, at most
 NEIGHBOURS = 15
 SHARPNESS = 4  # a vote weighs the similarity to this power
 REPEATS = 2.0  # weight of the share of repeated words beside trigrams of length 1
@@ -49,8 +49,12 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 def _rows(counts: np.ndarray, rarity: np.ndarray) -> np.ndarray:
     """Weighted trigrams at length 1, and the share of repeated words beside them."""
-    rows = _unit(np.log1p(counts[:, :-1]).astype(np.float32) * rarity)
-    return np.hstack([rows, counts[:, -1:].astype(np.float32) * np.float32(REPEATS / 1000)])
+    out = np.empty(counts.shape, np.float32)
+    for at in range(0, len(counts), BLOCK):  # no second copy of a large table
+        part = counts[at : at + BLOCK]
+        out[at : at + BLOCK, :-1] = _unit(np.log1p(part[:, :-1], dtype=np.float32) * rarity)
+        out[at : at + BLOCK, -1] = part[:, -1] * np.float32(REPEATS / 1000)
+    return out
 
 
 @dataclass
@@ -119,14 +123,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str
     sizes = {r[0]: r[1] for r in texts.groupBy("label").count().collect()}
     found: dict[int, tuple[int, np.ndarray]] = {}
     for value, n in sizes.items():
-        # Twice what is wanted, by the hash; then the first SAMPLE of them.
-        some = texts.filter((F.col("label") == value) & (F.col("place") < F.lit(int((1 << 40) * min(1.0, 2 * SAMPLE / n)))))
+        # Somewhat more than is wanted, by the hash; then the first SAMPLE of them.
+        some = texts.filter((F.col("label") == value) & (F.col("place") < F.lit(int((1 << 40) * min(1.0, 1.3 * SAMPLE / n)))))
         for row in some.select("place", "text").mapInArrow(_counted, "place bigint, counts binary").collect():
             found[row["place"]] = (value, np.frombuffer(row["counts"], "<u2"))
     chosen = [
         (place, value) for v in (0, 1) for place, value in sorted((p, x[0]) for p, x in found.items() if x[0] == v)[:SAMPLE]
     ]
-    counts = np.array([found[p][1] for p, _ in chosen], np.int64).reshape(-1, FEATURES + 1)
+    counts = np.array([found[p][1] for p, _ in chosen], np.uint16).reshape(-1, FEATURES + 1)
     return fit_arrays(counts, np.array([v for _, v in chosen], np.float64))
 
 
@@ -144,7 +148,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """
     wanted = docs if keep else docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     text_at = text_col if keep else "text"
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # 2 * SAMPLE vectors at most
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # 2 * SAMPLE vectors and the directions at most
     names = wanted.columns if keep else ["doc_id"]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
