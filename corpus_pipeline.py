@@ -1,14 +1,80 @@
-"""The corpus pipeline; see STAGES."""
+"""The corpus pipeline: quality, near copies, repeated passages, mixing, packing.
 
-from pyspark.sql import DataFrame, SparkSession
+Each stage works on all documents that the one before it kept, and every stage but
+the last returns the columns of ``documents``. SQL cannot express the classifier,
+the bands or the tokenizer, so there is no oracle: tests/llm holds the stages
+against plain versions.
+"""
 
-STAGES: list = []
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from headway.llm import mixing, near_dedup, packing, quality, queries, substring_dedup
+from headway.llm.substring_dedup import free_name
+from headway.sources.writing import stage
+
+LEAST_SCORE = 0.3
+SENT_IDS = 2_000_000  # ids of dropped copies that are sent to every executor (16 MB); more are joined
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop what the quality classifier rejects."""
+    model = quality.fit(docs, _labels(spark, sf_dir))
+    name = free_name(docs, "score")
+    return quality.score(docs, model, keep_as=name).filter(F.col(name) >= LEAST_SCORE).drop(name)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: five-word shingles, 0.8 or more alike."""
+    judged = near_dedup.near_duplicates(docs, words=5, percent=80)
+    dropped = stage(judged.filter(~F.col("kept")).select("doc_id").distinct(), "dropped-copies")
+    few = dropped.count() <= SENT_IDS
+    return docs.join(F.broadcast(dropped) if few else dropped, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut out every 200-byte string that stands anywhere else; the length follows the text."""
+    cut = substring_dedup.remove_repeats(docs, with_text=True)
+    return cut.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*docs.columns)
+
+
+def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Give each document as many copies as its rate says, none for a rate near 0."""
+    mixed = mixing.mix(docs, _labels(spark, sf_dir), queries.domain(), queries.TARGETS)
+    mark, copies = free_name(docs, "mark"), free_name(docs, "copies")
+    rates = mixed.filter("copies > 0").select(F.col("mark").alias(mark), F.col("copies").alias(copies)).dropDuplicates([mark])
+    return (
+        docs.withColumn(mark, mixing.mark(docs)).join(rates, mark)
+        .withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies))))
+        .select(*docs.columns)
+    )
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, queries.tokenizer())
+
+
+STAGES = [
+    ("quality", keep_good),
+    ("near_dedup", drop_near_copies),
+    ("substring_dedup", drop_repeated_passages),
+    ("mixing", mix_domains),
+    ("packing", pack_sequences),
+]
 
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written before the next one reads it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for at, (name, work) in enumerate(STAGES, 1):
+        docs = work(spark, docs, sf_dir)
+        if at < len(STAGES):
+            docs = stage(docs, f"pipeline-{name}")
     return docs

@@ -24,6 +24,7 @@ from headway.sources.writing import scratch_folder, stage
 BUCKETS = 1 << 16  # hashed features
 SAMPLE = 20_000  # labelled documents the classifier is fitted on, about; chosen by a hash of the text
 LEAST_WEIGHT = 1.0  # log odds below this say nothing about the domain
+LEAST_DEVIATION = 5.0  # standard deviations of chance that two domains' shares have to be apart
 FLOOR = 0.003  # added to the share of a domain's documents that have a feature
 SPREAD = 8  # how many features the share of distinct words counts as
 SHAPE = "\x01"  # first character of the feature that is no word
@@ -124,10 +125,17 @@ def fit(docs: DataFrame, labels: DataFrame, domain: Column, domains: tuple[str,
     def absent(d: str) -> Column:
         return F.log(1 - share(d)) - F.log(1 - share(domains[0]))
 
+    def counts(d: str) -> Column:
+        n, m = max(sizes[d], 1), max(sizes[domains[0]], 1)
+        both = F.least((F.col(d) + F.col(domains[0])) / (n + m), F.lit(1.0))
+        chance = F.sqrt(both * (1 - both) * (1 / n + 1 / m))
+        apart = F.abs(F.col(d) / n - F.col(domains[0]) / m) >= LEAST_DEVIATION * chance
+        return (F.abs(present(d)) >= LEAST_WEIGHT) & apart
+
     def weight(d: str) -> Column:
-        return F.when(F.abs(present(d)) >= LEAST_WEIGHT, present(d) - absent(d)).otherwise(0.0)
+        return F.when(counts(d), present(d) - absent(d)).otherwise(0.0)
 
-    without = counted.filter("feature >= 0").agg(*[F.sum(F.when(F.abs(present(d)) >= LEAST_WEIGHT, absent(d))) for d in domains[1:]]).first()
+    without = counted.filter("feature >= 0").agg(*[F.sum(F.when(counts(d), absent(d))) for d in domains[1:]]).first()
     for d, value in zip(domains[1:], without):
         odds[d] += value or 0.0  # of a document with none of the features
 
@@ -186,6 +194,11 @@ def rates(table: DataFrame, targets: Mapping[str, float]) -> Column:
     return rate
 
 
+def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """A hash of id and text: rows that have both in common are treated alike."""
+    return F.xxhash64(F.col(id_col).cast("bigint"), F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+
 def mix(
     docs: DataFrame, labels: DataFrame, domain: Column, targets: Mapping[str, float],
     id_col: str = "doc_id", text_col: str = "text",
@@ -201,7 +214,7 @@ def mix(
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
-        F.xxhash64(F.col(id_col), text).alias("mark"), text.alias("text"),
+        mark(docs, id_col, text_col).alias("mark"), text.alias("text"),
     )
     table = stage(model.scores(rows, ["row", "doc_id", "mark"], F.col("text")), "mix-posteriors")
     rate = rates(table, targets)

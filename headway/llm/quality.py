@@ -140,16 +140,18 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("place"), pa.array(counts, pa.binary())], names=["place", "counts"])
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
-    """doc_id and score of every row, or (``keep``) all columns of the input and the score.
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep_as: str | None = None) -> DataFrame:
+    """doc_id and score of every row, or all columns of the input and the score under the name ``keep_as``.
 
     A null or empty text, or one of fewer than three bytes, gets the prior. Ids may
     be null or repeated: the text alone decides. An empty table gives no rows.
     """
-    wanted = docs if keep else docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    text_at = text_col if keep else "text"
+    if keep_as in docs.columns:
+        raise ValueError(f"the table has a column {keep_as!r} already")
+    wanted = docs if keep_as else docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    text_at, out = (text_col, keep_as) if keep_as else ("text", "score")
     sent = docs.sparkSession.sparkContext.broadcast(model)  # 2 * SAMPLE vectors and the directions at most
-    names = wanted.columns if keep else ["doc_id"]
+    names = wanted.columns if keep_as else ["doc_id"]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = sent.value
@@ -158,8 +160,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 part = batch.slice(at, BLOCK)
                 counts = np.array([features(t) for t in part.column(text_at).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(n) for n in names), pa.array(fitted.score(counts), pa.float64())], names=[*names, "score"]
+                    [*(part.column(n) for n in names), pa.array(fitted.score(counts), pa.float64())], names=[*names, out]
                 )
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wanted.schema.fields if f.name in names)
-    return wanted.mapInArrow(judge, f"{fields}, score double")
+    return wanted.mapInArrow(judge, f"{fields}, `{out}` double")

@@ -252,6 +252,13 @@ def _window_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             )
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores before it that make it new to the table."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)), text, F.crc32(F.encode(text, "UTF-8"))
@@ -301,11 +308,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return settled.unionByName(by_sorting).unionByName(by_counting)
 
 
-def _cut(names: list[str], text_col: str, with_text: bool):
+def _cut(names: list[str], text_col: str, spans_col: str, with_text: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in range(5)]
-            for text, spans in zip(batch.column(text_col).to_pylist(), batch.column("__spans").to_pylist()):
+            for text, spans in zip(batch.column(text_col).to_pylist(), batch.column(spans_col).to_pylist()):
                 raw, kept, at, removed, runs, end = _bytes(text), [], 0, 0, 0, -1
                 for s in sorted((s["a"], s["b"]) for s in spans or ()):
                     a, b = s[0], s[1]
@@ -322,33 +329,43 @@ def _cut(names: list[str], text_col: str, with_text: bool):
                 values = (len(raw), removed, runs, hashlib.sha256(rest).hexdigest())
                 for column, value in zip(out, (*values, b"".join(kept).decode("utf-8", "ignore") if with_text else None)):
                     column.append(value)
+            if with_text:
+                columns = [pa.array(out[4], pa.string()) if n == text_col else batch.column(n) for n in names]
+                emptied = [removed > 0 and not text for removed, text in zip(out[1], out[4])]
+                yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array([not e for e in emptied], pa.bool_()))
+                continue
             arrays = [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.string())]
-            columns = [pa.array(out[4], pa.string()) if n == text_col else batch.column(n) for n in names]
-            yield pa.RecordBatch.from_arrays([*columns, *arrays], names=[*names, "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *arrays], names=[*names, "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     return cut
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
-    """n_bytes, n_removed, n_spans and kept_sha256 of every row, beside its id or (``with_text``) all its columns.
+    """n_bytes, n_removed, n_spans and kept_sha256 of every row beside its id, or (``with_text``) what is kept of the table.
 
     Removed is each byte covered by a 200-byte string that also starts anywhere
     else in the table, in the same text too; strings are judged on the input. The
-    text is UTF-8; a null one is empty. With ``with_text`` the text is what remains,
-    without the parts of characters that a cut leaves. Rows with the same id and
+    text is UTF-8; a null one is empty. ``with_text`` gives the columns of the input,
+    the text being what remains without the parts of characters that a cut leaves;
+    rows of which nothing remains are left out, rows without text stay. Rows with the same id and
     text are copies of each other like any others; null ids are ids like any other.
     An empty table gives no rows.
     """
-    key, _, mark = _keyed(docs, id_col, text_col)
     spans = (
-        repeated_spans(docs, id_col, text_col).groupBy(F.col("id").alias("__id"), F.col("mark").alias("__mark"))
-        .agg(F.collect_set(F.struct("a", "b")).alias("__spans"))
+        repeated_spans(docs, id_col, text_col).groupBy("id", "mark").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    )
+    if with_text:
+        kept, names, key, mark = docs, docs.columns, _keyed(docs, id_col, text_col)[0], _keyed(docs, id_col, text_col)[2]
+    else:
+        kept = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+        names, text_col = ["doc_id"], "text"
+        key, _, mark = _keyed(kept, "doc_id", "text")
+    own = {n: free_name(docs, n) for n in ("id", "mark", "spans")}
+    joined = kept.withColumns({own["id"]: key, own["mark"]: mark}).join(
+        spans.select(*[F.col(n).alias(o) for n, o in own.items()]), [own["id"], own["mark"]], "left"
     )
-    kept = docs if with_text else docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    names = kept.columns if with_text else ["doc_id"]
-    key, _, mark = _keyed(kept, id_col if with_text else "doc_id", text_col if with_text else "text")
-    joined = kept.withColumn("__id", key).withColumn("__mark", mark).join(spans, ["__id", "__mark"], "left").drop("__id", "__mark")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields if f.name in names)
-    return joined.mapInArrow(
-        _cut(names, text_col if with_text else "text", with_text), f"{fields}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+    added = "" if with_text else ", n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+    return joined.select(*[f"`{n}`" for n in dict.fromkeys([*names, text_col])], own["spans"]).mapInArrow(
+        _cut(names, text_col, own["spans"], with_text), fields + added
     )
