@@ -239,17 +239,28 @@ def _sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _window_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["mh", "id", "mark", "start", "a", "off", "w1", "w2"]
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("mh", "id", "mark", "start", "n", "off", "data"))):
-            mh, key, mark, start, n, off, raw = row
+        parts = []
+        for mh, key, mark, start, n, off, raw in zip(*(batch.column(c).to_pylist() for c in ("mh", "id", "mark", "start", "n", "off", "data"))):
             data, at = np.frombuffer(raw, np.uint8), np.arange(n)
             one = mix(_hash(_sums(data), at, at + LENGTH))
             two = mix(_hash(_sums(data ^ np.uint8(0xA5)), at, at + LENGTH) ^ _U(0x5851F42D4C957F2D))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, v)) for v in (mh, key, mark)]
-                + [pa.array(start + at), pa.array(off - at), pa.array(one.view(np.int64)), pa.array(two.view(np.int64))],
-                names=["mh", "id", "mark", "a", "off", "w1", "w2"],
-            )
+            parts.append((*(np.full(n, v) for v in (mh, key, mark, start)), start + at, off - at, one.view(np.int64), two.view(np.int64)))
+        if parts:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], names=names)
+
+
+def _other_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans of the windows of a record that are not named as the only ones of their kind."""
+    for batch in batches:
+        keys, found = [], []
+        for key, mark, start, n, single in zip(*(batch.column(c).to_pylist() for c in ("id", "mark", "start", "n", "single"))):
+            hits = np.ones(n, bool)
+            hits[np.array(single or [], np.int64) - start] = False
+            keys.append((key, mark, start))
+            found.append(hits)
+        yield _span_rows(keys, found)
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -296,15 +307,20 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     by_sorting = pieces.filter(~F.col("big")).repartition("mh").sortWithinPartitions("mh").mapInArrow(
         _sorted_groups, "id bigint, mark bigint, a bigint, b bigint"
     )
-    windows = stage(
-        pieces.filter("big").mapInArrow(
-            _window_hashes, "mh bigint, id bigint, mark bigint, a bigint, off bigint, w1 bigint, w2 bigint"
-        ),
-        "string-windows",
+    # Counting names the windows that are alone, by their only row; all others of a record are repeated.
+    big = pieces.filter("big")
+    single = (
+        big.mapInArrow(
+            _window_hashes, "mh bigint, id bigint, mark bigint, start bigint, a bigint, off bigint, w1 bigint, w2 bigint"
+        )
+        .groupBy("mh", "off", "w1", "w2")
+        .agg(F.count(F.lit(1)).alias("c"), *[F.min(k).alias(k) for k in ("id", "mark", "start", "a")]).filter("c = 1")
+        .groupBy("mh", "id", "mark", "start").agg(F.collect_list("a").alias("single"))
+    )
+    by_counting = (
+        big.select("mh", "id", "mark", "start", "n").join(single, ["mh", "id", "mark", "start"], "left")
+        .mapInArrow(_other_windows, "id bigint, mark bigint, a bigint, b bigint")
     )
-    same = ["mh", "off", "w1", "w2"]
-    twice = stage(windows.groupBy(*same).agg(F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c"), "string-twice")
-    by_counting = windows.join(twice, same).select("id", "mark", "a", (F.col("a") + LENGTH).alias("b"))
     return settled.unionByName(by_sorting).unionByName(by_counting)
 
 
