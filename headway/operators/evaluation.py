@@ -89,14 +89,14 @@ def metric_long(table: DataFrame, prefix: str = "RMSE") -> DataFrame:
 
 
 def rank_models(table: DataFrame, by: str = "Test_RMSE", limit: int = 3) -> DataFrame:
-    """The best models; of equal ones the first to be trained comes first."""
-    return table.orderBy(F.col(by).asc_nulls_last(), "model_order").limit(limit)
+    """The best models that have a score; of equal ones the first to be trained comes first."""
+    return table.filter(F.col(by).isNotNull() & ~F.isnan(by)).orderBy(by, "model_order").limit(limit)
 
 
 def best_model(table: DataFrame, by: str = "Test_RMSE") -> DataFrame:
     """The one best model, the ensemble included."""
     order = F.struct(F.col(by), F.col("model_order"))
-    return table.filter(F.col(by).isNotNull()).agg(
+    return table.filter(F.col(by).isNotNull() & ~F.isnan(by)).agg(
         F.min_by("Model", order).alias("Model"), F.min(by).alias(by)
     )
 

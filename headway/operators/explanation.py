@@ -9,7 +9,6 @@ from pyspark.ml import Model, PipelineModel
 from pyspark.ml.util import MLWritable
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from headway.operators import modeling
 from headway.sources.writing import discard, scratch_folder
 
 IMPORTANCE_SCHEMA = T.StructType(
@@ -23,7 +22,7 @@ IMPORTANCE_SCHEMA = T.StructType(
 
 
 def importance_table(spark, model: Model, features: Sequence[str]) -> DataFrame:
-    """One row per feature, the most important first.
+    """One row per feature, the most important first; ``features`` names every slot of the vector.
 
     Tree models give impurity importances, which sum to 1; linear models the
     absolute coefficients of the standardised features. The kind says which.
@@ -34,7 +33,14 @@ def importance_table(spark, model: Model, features: Sequence[str]) -> DataFrame:
         values, kind = abs(model.coefficients.toArray()), "coefficient"
     else:
         raise ValueError(f"{type(model).__name__} has no importances")
-    rows = [(name, i, float(v), kind) for i, (name, v) in enumerate(zip(features, values))]
+    if len(values) != len(features):
+        raise ValueError(f"{len(features)} features are named, the model has {len(values)}")
+    at: dict[str, int] = {}
+    total: dict[str, float] = {}
+    for i, (name, v) in enumerate(zip(features, values)):  # slots of one column are added up
+        at.setdefault(name, i)
+        total[name] = total.get(name, 0.0) + float(v)
+    rows = [(name, at[name], total[name], kind) for name in at]
     return spark.createDataFrame(rows, IMPORTANCE_SCHEMA).orderBy(F.desc("importance"), "feature_index")
 
 
@@ -126,12 +132,14 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def partial_dependence(
-    model: PipelineModel, df: DataFrame, features: Sequence[str], inputs: Sequence[str], points: int = 20
+    model: PipelineModel, df: DataFrame, features: Sequence[str], inputs: Sequence[str], points: int = 20,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """Mean prediction as one feature runs over its range and the others stay.
 
     The grid of features and points is a constant, so each row is scored at every
-    point where it lies and only (feature, point) sums are shuffled.
+    point where it lies and only (feature, point) sums are shuffled. ``carried``
+    columns, such as text categories, reach the model as they are.
     """
     ends = df.agg(
         *[F.min(f).cast("double").alias(f"min {f}") for f in features],
@@ -147,7 +155,7 @@ def partial_dependence(
             grid.append(F.struct(F.lit(f).alias("feature"), F.lit(i).alias("step"), F.lit(at).alias("point")))
     if not grid:
         raise ValueError("no values to run over")
-    rows = modeling.spread(df.select(*[F.col(c).cast("double").alias(c) for c in inputs]))
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in inputs], *carried)
     laid = rows.select("*", F.inline(F.array(*grid)))
     moved = laid.withColumns(
         {f: F.when(F.col("feature") == f, F.col("point")).otherwise(F.col(f)) for f in features}

@@ -16,10 +16,6 @@ from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as
 
 from headway.session import shared_dir
 
-# Up to this many rows (one sort in one task) a plain window ranks the rows
-# around a boundary; more of them, say one hot second, are ranked in parallel.
-ONE_TASK_ROWS = 100_000
-
 _PLACE, _PART = "__place", "__part"
 
 
@@ -145,10 +141,11 @@ def _buckets_with_ranks(df: DataFrame, time: str, unit: str, ranks: Column) -> l
 
 def _narrow(df: DataFrame, time: str, unit: str, kept: list[Row], ranks: list[int]) -> tuple[DataFrame, list[int], int]:
     """Rows of the kept buckets, the ranks counted within them, and their number."""
-    width = F.expr({"day": "INTERVAL 1 DAY", "second": "INTERVAL 1 SECOND"}[unit])
+    days = isinstance(df.schema[time].dataType, T.DateType)
+    width = F.expr("INTERVAL 1 DAY" if days or unit == "day" else "INTERVAL 1 SECOND")
     inside, local, taken = F.lit(False), list(ranks), 0
     for bucket in kept:
-        start = _literal(df, time, bucket["bucket"])
+        start = F.timestamp_micros(F.lit(bucket["bucket"])).cast(df.schema[time].dataType)
         inside = inside | ((F.col(time) >= start) & (F.col(time) < start + width))
         first = bucket["upto"] - bucket["n"]
         for i, rank in enumerate(ranks):
@@ -182,20 +179,15 @@ def fit_chrono_split(
     n_train, n_test = int(train * n), int(test * n)
     ranks = [n_train, n_train + n_test]
 
-    wanted, kept, unit = rows, [d for d in days if d["held"]], "day"
-    wanted, local, left = _narrow(wanted, time, unit, kept, ranks)
-    if left > ONE_TASK_ROWS:
+    wanted, local, left = _narrow(rows, time, "day", [d for d in days if d["held"]], ranks)
+    if left:
         seconds = _buckets_with_ranks(wanted, time, "second", F.array(*[F.lit(r) for r in local]))
-        kept = [s for s in seconds if s["held"]]
-        wanted, local, left = _narrow(wanted, time, "second", kept, local)
+        wanted, local, left = _narrow(wanted, time, "second", [s for s in seconds if s["held"]], local)
 
     found: dict[int, Row] = {}
     if left:
         plain = wanted.select(*[_plain(wanted, k) for k in keys])
-        if left <= ONE_TASK_ROWS:
-            ranked = plain.withColumn("__rn", F.row_number().over(Window.orderBy(*keys)))
-        else:
-            ranked = global_row_number(plain, keys, "__rn")
+        ranked = global_row_number(plain, keys, "__rn")
         near = sorted({r + step for r in local for step in (0, 1)})
         found = {row["__rn"]: row for row in ranked.filter(F.col("__rn").isin(near)).collect()}
 

@@ -76,6 +76,17 @@ def feature_stages(
     return Pipeline(stages=stages)
 
 
+def slot_names(model: PipelineModel, df: DataFrame, features: Sequence[str], categorical: Sequence[str]) -> list[str]:
+    """The column behind each slot of the feature vector."""
+    names = list(features)
+    if categorical:
+        attributes = model.transform(df).schema["features"].metadata["ml_attr"]["attrs"]
+        slots = sorted((a["idx"], a["name"]) for group in attributes.values() for a in group)
+        longest = sorted(categorical, key=len, reverse=True)
+        names += [next(c for c in longest if name.startswith(f"{c}_onehot")) for _, name in slots[len(features) :]]
+    return names
+
+
 def fit_features(df: DataFrame, features: Sequence[str], categorical: Sequence[str] = ()) -> PipelineModel:
     """Fit the feature stages; text categories are indexed by frequency."""
     numeric = df.withColumns({c: F.col(c).cast("double") for c in features})

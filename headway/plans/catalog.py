@@ -291,6 +291,17 @@ def ols_metrics(spark, sf):
 PREDICTORS = {"Mean": "p_mean", "ByType": "p_type", "ByHour": "p_hour", "LinearRegression": "prediction"}
 
 
+LOOKUP_ROWS = 10_000  # a table of means up to this size is sent to every executor; a larger one is joined by shuffle
+
+
+def _lookup(means: DataFrame) -> DataFrame:
+    """Means per key for a join: keys with many rows each must not be shuffled on."""
+    rows = means.limit(LOOKUP_ROWS + 1).collect()
+    if len(rows) > LOOKUP_ROWS:
+        return means
+    return F.broadcast(means.sparkSession.createDataFrame(rows, means.schema))
+
+
 def _predicted(spark, sf) -> DataFrame:
     """Events with four predictions: overall mean, means by type and hour, least squares."""
     scored = _ols_events(spark, sf)
@@ -299,8 +310,8 @@ def _predicted(spark, sf) -> DataFrame:
     by_type = train.groupBy("event_type").agg(F.avg("value").alias("p_type"))
     by_hour = train.groupBy("Hour").agg(F.avg("value").alias("p_hour"))
     return (
-        scored.join(by_type, "event_type", "left")
-        .join(by_hour, "Hour", "left")
+        scored.join(_lookup(by_type), "event_type", "left")
+        .join(_lookup(by_hour), "Hour", "left")
         .select(
             "event_id", "ts", "split", "value", "prediction",
             F.lit(overall).alias("p_mean"),
@@ -447,7 +458,7 @@ def _orders_predicted(spark, sf) -> DataFrame:
     """Orders with the mean price of their priority, over all orders, as prediction."""
     orders = _table(spark, sf, "orders")
     means = orders.groupBy("o_orderpriority").agg(F.avg("o_totalprice").alias("prediction"))
-    return orders.join(means, "o_orderpriority")
+    return orders.join(_lookup(means), "o_orderpriority")
 
 
 def _daily(spark, sf) -> DataFrame:
@@ -498,7 +509,7 @@ def feature_importance(spark, sf):
 
 def gain_importance(spark, sf):
     _, _, data = _event_training(spark, sf)
-    model = modeling.boosted(maxIter=10)(data)
+    model = modeling.boosted()(data)
     return explanation.gain_importance(spark, model, CALENDAR)
 
 

@@ -21,12 +21,28 @@ from headway.schema import ENSEMBLE, FEATURES, LABEL, NUMERIC, REQUIRED, TIME
 from headway.session import use_utc
 from headway.sources import writing
 
-ROW_ID = "row_id"
+ROW_ID, ROW_MARK = "row_id", "row_mark"
+
+
+EVALUATED = (
+    "Model string, Train_RMSE double, Test_RMSE double, Val_RMSE double, Test_R2 double, "
+    "Training_Time double, model_order int"
+)
 
 
 @dataclass(frozen=True)
 class RunConfig:
+    """What a run does.
+
+    ``key`` names columns that are unique together with the time: they break ties
+    of the split. Without them a hash of all kept columns does, so that the parts
+    hold the same rows however the source is cut into files. ``parts`` is the fixed
+    number of parts that training rows are placed in; see ``modeling.PARTS``.
+    """
+
     time: str = TIME
+    key: Sequence[str] = ()
+    parts: int = modeling.PARTS
     label: str = LABEL
     numeric: Sequence[str] = NUMERIC
     required: Sequence[str] = REQUIRED
@@ -86,11 +102,7 @@ def clean_trips(named: DataFrame, config: RunConfig) -> DataFrame:
 
 
 def prepare(spark: SparkSession, raw: DataFrame, config: RunConfig, folder: str) -> Prepared:
-    """Clean, count and number the rows in the pass that stages them, then find the split.
-
-    Rows get an id when they are written, which makes their order by time unique
-    from then on.
-    """
+    """Clean, count and mark the rows in the pass that stages them, then find the split."""
     named = cleaning.normalize_names(raw)
     kinds = [(f.name, f.dataType.simpleString()) for f in named.schema.fields]
     before, after = Observation(), Observation()
@@ -103,10 +115,12 @@ def prepare(spark: SparkSession, raw: DataFrame, config: RunConfig, folder: str)
         after, F.count(F.lit(1)).alias("rows"), F.count(config.time).alias("timed")
     )
     features = cleaning.available(cleaned, config.features)
-    kept = dict.fromkeys([config.time, config.label, *features, *config.categorical])
+    kept = dict.fromkeys([config.time, *config.key, config.label, *features, *config.categorical])
     staged = writing.stage(
         cleaned.select(*kept)
         .withColumns({c: F.col(c).cast("double") for c in features})
+        # Equal marks without a key: equal rows, which are the same to every model.
+        .withColumn(ROW_MARK, F.xxhash64(*([config.time, *config.key] if config.key else kept)))
         .withColumn(ROW_ID, F.monotonically_increasing_id()),
         "cleaned",
         folder=folder,
@@ -122,13 +136,13 @@ def prepare(spark: SparkSession, raw: DataFrame, config: RunConfig, folder: str)
     )
 
     if config.random_split:
-        rows = ordering.hash_split(staged.filter(F.col(config.time).isNotNull()), ROW_ID)
+        rows = ordering.hash_split(staged.filter(F.col(config.time).isNotNull()), ROW_MARK)
 
         def part(df: DataFrame, name: str) -> DataFrame:
             return df.filter(F.col("split") == name)
     else:
         split = ordering.fit_chrono_split(
-            staged, config.time, [ROW_ID], config.train_share, config.test_share
+            staged, config.time, list(config.key) or [ROW_MARK, ROW_ID], config.train_share, config.test_share
         )
         rows, part = split.apply(staged), split.rows
     return Prepared(
@@ -179,26 +193,28 @@ def run(spark: SparkSession, raw: DataFrame, config: RunConfig = RunConfig()) ->
     def part(name: str) -> DataFrame:
         return prepared.part(scaled, name).select("scaledFeatures", config.label)
 
-    runs = modeling.train_all(config.specs, modeling.TrainingData(part("train"), part("val"), config.label))
+    runs = modeling.train_all(config.specs, modeling.TrainingData(part("train"), part("val"), config.label, parts=config.parts))
     names = [r.name for r in runs if r.status == "ok"]
     seconds = {r.name: r.seconds for r in runs}
 
     # Features go along as imputed, in their own units: explanations are read in those.
     imputed = [F.col(f"{c}_filled").alias(c) for c in features]
     predicted = [f"`{modeling.prediction_column(n)}`" for n in names]
-    scored = modeling.score(scaled, runs).select(ROW_ID, config.time, "split", config.label, *imputed, *predicted)
+    scored = modeling.score(scaled, runs).select(
+        ROW_ID, config.time, "split", config.label, *imputed, *config.categorical, *predicted
+    )
     predictions = writing.stage(scored, "predictions", ["split"], folder)
 
     metric_rows, table = _evaluate(predictions, config, names, seconds)
-    by = {"test": 2, "val": 3}[config.select_on]
+    by = {"test": "Test_RMSE", "val": "Val_RMSE"}[config.select_on]
 
-    def rank(rows):
-        usable = [r for r in rows if r[by] is not None]
-        return sorted(usable, key=lambda r: (r[by], r[-1]))
+    def frame(rows):
+        return spark.createDataFrame(rows, EVALUATED)
 
+    ranked = [r["Model"] for r in evaluation.rank_models(frame(table), by, 3).collect()]
     members: list[str] = []
-    if len(rank(table)) >= 3:
-        members = [r[0] for r in rank(table)[:3]]
+    if len(ranked) == 3:
+        members = ranked
         predictions = evaluation.with_ensemble(
             predictions, [modeling.prediction_column(m) for m in members], modeling.prediction_column(ENSEMBLE)
         )
@@ -206,19 +222,14 @@ def run(spark: SparkSession, raw: DataFrame, config: RunConfig = RunConfig()) ->
             predictions, config, [ENSEMBLE], {ENSEMBLE: sum(seconds[m] for m in members)}, len(config.specs)
         )
         metric_rows, table, names = metric_rows + more_rows, table + more, [*names, ENSEMBLE]
-    best = rank(table)[0][0] if rank(table) else None
+    best = evaluation.best_model(frame(table), by).first()["Model"]
 
     metrics = spark.createDataFrame(
         [(r["split"], r["model"], r["model_order"], r["n"], r["rmse"], r["r2"], r["r2_corr"]) for r in metric_rows],
         "split string, model string, model_order int, n bigint, rmse double, r2 double, r2_corr double",
     )
-    evaluated = spark.createDataFrame(
-        table,
-        "Model string, Train_RMSE double, Test_RMSE double, Val_RMSE double, Test_R2 double, "
-        "Training_Time double, model_order int",
-    )
     result = RunResult(
-        folder, prepared, feature_model, runs, predictions, metrics, evaluated, members, best, {}
+        folder, prepared, feature_model, runs, predictions, metrics, frame(table), members, best, {}
     )
     result.tables = chart_tables(spark, result, config, names)
     return result
@@ -258,10 +269,13 @@ def chart_tables(spark: SparkSession, result: RunResult, config: RunConfig, name
 
     # The best single model is explained, also where the ensemble is ahead of it.
     single = result.best if result.best != ENSEMBLE else result.members[0]
-    if config.categorical:
-        return tables
-    importance = explanation.importance_table(spark, result.model(single), result.prepared.features)
-    top = explanation.top_features(importance, 10)
+    model, features = result.model(single), result.prepared.features
+    slots = preparation.slot_names(result.feature_model, result.prepared.rows, features, config.categorical)
+    importance = explanation.importance_table(spark, model, slots)
+    # Text columns have an importance; lines, correlations and grids are of numbers.
+    top = [f for f in explanation.top_features(importance, 10 + len(config.categorical)) if f in features][:10]
+    if hasattr(model, "treeWeights"):
+        tables["gain_importance"] = explanation.gain_importance(spark, model, slots)
     single_column = modeling.prediction_column(single)
     y = config.label if config.dependence_on == "label" else "prediction"
     explained = test.withColumn("prediction", F.col(f"`{single_column}`"))
@@ -270,7 +284,7 @@ def chart_tables(spark: SparkSession, result: RunResult, config: RunConfig, name
     tables["dependence_lines"] = explanation.dependence_lines(explained, top[:5], y)
     tables["correlation"] = explanation.correlation_matrix(explained, top)
     tables["partial_dependence"] = explanation.partial_dependence(
-        result.pipeline(single), test, top[:3], result.prepared.features
+        result.pipeline(single), test, top[:3], features, carried=config.categorical
     )
     return tables
 

@@ -115,6 +115,21 @@ def test_forest_importances_and_failure_isolation(spark, data):
     assert table["broken"]["status"] == "failed" and all(r["seconds"] >= 0 for r in table.values())
 
 
+def test_trees_do_not_depend_on_the_partitions(data):
+    fits = [
+        modeling.forest(numTrees=5, maxDepth=4)(TrainingData(data.train.repartition(n), data.val, data.label)) for n in (1, 7)
+    ]
+    a, b = ([r[0] for r in f.transform(data.val).orderBy("id").select("prediction").collect()] for f in fits)
+    assert a == pytest.approx(b)
+
+
+def test_importances_of_a_cut_model_name_every_feature(spark, data):
+    flat = data.train.withColumn("y", F.lit(1.0))
+    model = modeling.boosted(maxIter=3, maxDepth=2)(TrainingData(flat, flat, "y"))
+    cut = modeling.first_rounds(model, 1)
+    assert len(cut.featureImportances) == model.numFeatures
+
+
 def test_grid_search_ranks_by_validation_error(data):
     found = modeling.grid_search(modeling.elastic_net, [{"regParam": p} for p in (5.0, 0.001, 0.1)], data)
     assert [r.params["regParam"] for r in found] == [0.001, 0.1, 5.0]

@@ -55,10 +55,14 @@ def test_parts_are_in_time_order_and_disjoint(spark):
         split.rows(df, "other")
 
 
-@pytest.mark.parametrize("one_task", [100_000, 5])
-def test_ties_are_broken_by_the_key_even_in_one_hot_second(spark, monkeypatch, one_task):
-    """A third and more of the rows share one time; also with the parallel ranking."""
-    monkeypatch.setattr(ordering, "ONE_TASK_ROWS", one_task)
+def test_a_date_column_is_split(spark):
+    df = spark.range(200).select("id", F.date_add(F.lit("2024-01-01"), (F.col("id") / 15).cast("int")).alias("t"))
+    got = {r["id"]: r["split"] for r in ordering.chrono_split(df, "t", ["id"]).collect()}
+    assert got == {i: ("train" if i < 140 else "test" if i < 180 else "val") for i in range(200)}
+
+
+def test_ties_are_broken_by_the_key_even_in_one_hot_second(spark):
+    """A third and more of the rows share one time."""
     moment = dt.datetime(2024, 5, 1, 12, 0, 0)
     df = spark.range(300).select(
         "id",

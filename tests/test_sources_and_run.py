@@ -126,10 +126,26 @@ def test_other_choices(spark):
     )
     result = trip_arrival.run(spark, clean_trips(spark, 1000), config)
     assert result.members == [] and result.best == "LinearRegression"
-    assert "importance" not in result.tables
+    named = {r["feature"] for r in result.tables["importance"].collect()}
+    assert "PublishedLineName" in named
+    assert {"dependence_points", "dependence_lines", "correlation", "partial_dependence"} <= set(result.tables)
+    assert result.tables["partial_dependence"].count() > 0
     assert result.prepared.rows.count() == 1000
 
 
+@pytest.mark.parametrize("random_split", [False, True])
+def test_parts_do_not_depend_on_the_files(spark, tmp_path, random_split):
+    """The same trips, with many equal times, in one part and in seven: the same rows in each split."""
+    trips = clean_trips(spark, 400).withColumn("RecordedAtTime", F.date_format("RecordedAtTime", "yyyy-MM-dd 00:00:00"))
+    found = []
+    for parts in (1, 7):
+        folder = writing.scratch_folder(spark, "test")
+        prepared = trip_arrival.prepare(spark, trips.repartition(parts), RunConfig(random_split=random_split), folder)
+        found.append(sorted((r["row_mark"], r["split"]) for r in prepared.rows.select("row_mark", "split").collect()))
+        writing.discard(spark, folder)
+    assert found[0] == found[1]
+
+
 def test_no_model_still_gives_a_table(spark):
     result = trip_arrival.run(spark, clean_trips(spark, 200), RunConfig(specs=SPECS[3:]))
     assert result.best is None and result.evaluation.count() == 0
