@@ -19,7 +19,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -181,36 +180,67 @@ def _confirmed(percent: int):
     return confirm
 
 
-def _cell(percent: int):
+def _forest(ids: np.ndarray, comps: np.ndarray, left: np.ndarray, sigs: np.ndarray, sets: list[bytes], percent: int, least: float) -> list[tuple]:
     """Links that join different components within a cell: a forest, at most one for each text."""
+    links: list[tuple] = []
+    right = np.flatnonzero(~left)
+    if not left.any() or not len(right):
+        return links
+    two, right_comps = sigs[right], comps[right]
+    sizes = np.array([len(sets[j]) // 8 for j in right])
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = up
+        return x
+
+    for i in np.flatnonzero(left):
+        own, comp = np.frombuffer(sets[i], np.uint64), comps[i]
+        equal = (two == sigs[i]).sum(1)
+        fits = (equal >= least) & (right_comps != comp)
+        fits &= (100 * sizes >= percent * len(own)) & (100 * len(own) >= percent * sizes)
+        for j in sorted(np.flatnonzero(fits), key=lambda j: -equal[j]):
+            other = right_comps[j]
+            if root(comp) != root(other) and similar(own, np.frombuffer(sets[right[j]], np.uint64), percent):
+                parent[root(comp)] = root(other)
+                links.append((int(ids[i]), int(ids[right[j]])))
+    return links
+
+
+_CELL = ["bucket", "row", "column"]
+
+
+def _cells(percent: int):
+    """Rows come ordered by cell; each cell is tested when its last row is there."""
     least = least_agreement(percent)
 
-    def test(cell: pd.DataFrame) -> pd.DataFrame:
-        left, right = cell[cell["left"]], cell[~cell["left"]]
-        links = []
-        if len(left) and len(right):
-            one, two = (np.frombuffer(b"".join(x["sig"]), np.uint8).reshape(-1, MINIMA) for x in (left, right))
-            sets = [np.frombuffer(s, np.uint64) for s in right["shingles"]]
-            sizes = np.array([len(s) for s in sets])
-            comps, ids = right["comp"].to_numpy(), right["doc_id"].to_numpy()
-            parent: dict[int, int] = {}
-
-            def root(x: int) -> int:
-                while (up := parent.get(x, x)) != x:
-                    parent[x] = parent.get(up, up)
-                    x = up
-                return x
-
-            for i, (doc, comp, data) in enumerate(zip(left["doc_id"], left["comp"], left["shingles"])):
-                own = np.frombuffer(data, np.uint64)
-                equal = (two == one[i]).sum(1)
-                fits = (equal >= least) & (comps != comp)
-                fits &= (100 * sizes >= percent * len(own)) & (100 * len(own) >= percent * sizes)
-                for j in sorted(np.flatnonzero(fits), key=lambda j: -equal[j]):
-                    if root(comp) != root(comps[j]) and similar(own, sets[j], percent):
-                        parent[root(comp)] = root(comps[j])
-                        links.append((doc, ids[j]))
-        return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def settle(table: pa.Table, edges: list[int]) -> pa.RecordBatch:
+            ids, comps = (table.column(c).to_numpy() for c in ("doc_id", "comp"))
+            left = np.array(table.column("left").to_pylist(), bool)
+            sets = table.column("shingles").to_pylist()
+            sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, MINIMA)
+            links = []
+            for at, end in zip(edges[:-1], edges[1:]):
+                links += _forest(ids[at:end], comps[at:end], left[at:end], sigs[at:end], sets[at:end], percent, least)
+            a, b = zip(*links) if links else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        held: pa.Table | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            fresh = pa.Table.from_batches([batch])
+            held = fresh if held is None else pa.concat_tables([held, fresh])
+            keys = np.stack([held.column(c).to_numpy().astype(np.int64) for c in _CELL])
+            edges = (np.flatnonzero((np.diff(keys) != 0).any(0)) + 1).tolist()
+            if edges:
+                yield settle(held.slice(0, edges[-1]), [0, *edges])
+                held = held.slice(edges[-1])
+        if held is not None:
+            yield settle(held, [0, held.num_rows])
 
     return test
 
@@ -302,7 +332,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     ))
     more = stage(
         cells.join(stage(sets.join(sig, "doc_id"), "near-full"), "doc_id")
-        .groupBy("bucket", "row", "column").applyInPandas(_cell(percent), "a bigint, b bigint"),
+        .repartition(*_CELL).sortWithinPartitions(*_CELL).select(*_CELL, "doc_id", "comp", "left", "sig", "shingles")
+        .mapInArrow(_cells(percent), "a bigint, b bigint"),
         "near-more",
     )
     joined = stage(connected_components(linked.unionByName(more)), "near-components")
