@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from headway.llm import embedding_dedup, fingerprints, html_text, mixing, near_dedup, packing, quality, sharding, substring_dedup, url_filter
+from headway.llm import (
+    embedding_dedup, fingerprints, html_text, mixing, near_dedup, packing, prefix_trie, quality, quality_rules, sharding, spelling,
+    substring_dedup, url_filter,
+)
 
 URL_RULES = (
     url_filter.Rule("block", "net", "/"),
@@ -84,13 +87,39 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, labels, domain(), TARGETS).drop("mark")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(_table(spark, sf_dir, "documents")).drop("n_repeats", "longest_repeat")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_filter, op2_minhash, op3_fingerprints, op4_html_extraction, op5_embeddings, op6_substrings, op7_packing, op8_sharding, op9_quality,
-        op10_mixing,
+        op10_mixing, op11_spelling, op12_prefix_trie, op13_quality_rules,
     )
 }
 
+
+
+def _repeated_words(name: str, width: int) -> str:
+    """Words under windows of some words that a row holds twice or more."""
+    return f"""
+        {name}_windows AS (
+            SELECT doc, unnest(range(1, n - {width - 2})) AS begins, words FROM split WHERE n > {width}),
+        {name}_keys AS (
+            SELECT doc, begins, count(*) OVER (PARTITION BY doc, array_to_string(words[begins:begins + {width - 1}], ' ')) AS c FROM {name}_windows),
+        {name} AS (
+            SELECT doc, count(DISTINCT place) AS n
+            FROM (SELECT doc, unnest(range(begins, begins + {width})) AS place FROM {name}_keys WHERE c > 1) GROUP BY doc)"""
+
+
 ORACLES: dict[str, str] = {
     "op1_url_filter": rf"""
         WITH parts AS (
@@ -115,4 +144,26 @@ ORACLES: dict[str, str] = {
                CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
                     WHEN listed THEN 'block' ELSE 'allow' END AS verdict, listed
         FROM ruled""",
+    # The union of the maximal repeats of some words is that of the repeated windows; a repeat
+    # over the longest allowed is a repeated window of one word more.
+    "op13_quality_rules": rf"""
+        WITH split AS (
+            SELECT row_number() OVER () AS doc, doc_id, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words, len(words) AS n,
+                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+            FROM documents),
+        {_repeated_words("base", quality_rules.WINDOW)},
+        {_repeated_words("under", quality_rules.REPEAT)},
+        {_repeated_words("long", quality_rules.LONGEST + 1)},
+        counted AS (
+            SELECT doc_id, split.n AS n_words,
+                   CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+                   length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+                   len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+                   coalesce(base.n, 0) AS n_repeat_words, coalesce(under.n, 0) AS n_covered, coalesce(long.n, 0) AS n_over
+            FROM split LEFT JOIN base USING (doc) LEFT JOIN under USING (doc) LEFT JOIN long USING (doc))
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_covered,
+               n_words < {quality_rules.FEWEST} OR 100 * n_repeat_words > {quality_rules.MOST_REPEATED} * n_words AS base_failed,
+               NOT (base_failed OR 100 * n_covered > {quality_rules.COVERED} * n_words OR n_over > 0) AS kept
+        FROM counted""",
 }

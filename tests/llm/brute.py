@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
+import zlib
+from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -71,3 +74,89 @@ def remove_repeats(rows, length: int = 200) -> list[tuple]:
         runs = sum(g and not before for g, before in zip(gone, b"\x00" + gone))
         out.append((i, len(raw), sum(gone), runs, rest))
     return out
+
+
+RUN = re.compile(r"[A-Za-zÀ-ÿ]+")
+
+
+def spelling(rows) -> dict[str, tuple]:
+    """word -> (n, near words, form, its n, root): near words by deleting each code point."""
+    counts: Counter[str] = Counter()
+    for i, text in rows:
+        for run in map(lower, RUN.findall(text or "")):
+            mark = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            at = mark % len(run)
+            counts[run[:at] + run[at + 1 :] if mark % 199 == 0 else run] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= 6 and n >= 5}
+    gaps, near = defaultdict(set), defaultdict(set)
+    for w in words:
+        for k in range(len(w)):
+            shorter = w[:k] + w[k + 1 :]
+            gaps[k, shorter].add(w)
+            if shorter in words:
+                near[w].add(shorter)
+                near[shorter].add(w)
+    for held in gaps.values():
+        for w in held:
+            near[w] |= held - {w}
+    best = {w: min(v, key=lambda x: (-words[x], x)) for w, v in near.items() if v}
+    form = {w: b for w, b in best.items() if words[b] >= 5 * words[w]}
+    out = {}
+    for w, n in words.items():
+        root = w
+        while root in form:
+            root = form[root]
+        out[w] = (n, len(near[w]), form.get(w), words.get(form.get(w)), root)
+    return out
+
+
+def prefix_trie(rows) -> dict[tuple, tuple]:
+    """(smallest member, depth) -> the other columns, from the set of all prefixes."""
+    turns = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            turns[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [t[2:] for t in sorted(v, key=lambda t: t[:2])] for c, v in turns.items()}
+    rebuilt = {}
+    for c, v in own.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        rebuilt[c] = tuple(own.get(c - c % 20, [])[:h] + v[h:])
+    members, below = defaultdict(list), defaultdict(list)
+    for c, s in rebuilt.items():
+        for d in range(len(s) + 1):
+            members[s[:d]].append(c)
+    for s in members:
+        if s:
+            below[s[:-1]].append(s)
+    out, leaves, saved = {}, {}, {}
+    for s in sorted(members, key=len, reverse=True):
+        leaves[s] = sum(leaves[k] for k in below[s]) if below[s] else 1
+        words = len(WORD.findall(s[-1][1])) if s else 0
+        saved[s] = sum(saved[k] for k in below[s]) + (len(members[s]) - 1) * words
+        ends = ",".join(str(c) for c in sorted(members[s]) if len(rebuilt[c]) == len(s))
+        out[min(members[s]), len(s)] = (
+            min(members[s[:-1]]) if s else None, len(members[s]), len(below[s]), leaves[s], saved[s], hashlib.sha256(ends.encode()).hexdigest()
+        )
+    return out
+
+
+def repetition(words: list, least: int) -> tuple[int, int, int, int]:
+    """Words in repeated windows of five, maximal repeats, words under them, words of the longest, by definition."""
+    n, found, longest = len(words), 0, 0
+
+    def places(width: int) -> list[list[int]]:
+        held = defaultdict(list)
+        for at in range(n - width + 1):
+            held[tuple(words[at : at + width])].append(at)
+        return [v for v in held.values() if len(v) > 1]
+
+    def under(width: int) -> int:
+        return len({at + k for v in places(width) for at in v for k in range(width)})
+
+    for width in range(least, n):
+        for held in places(width):
+            left = {words[at - 1] if at else None for at in held}
+            right = {words[at + width] if at + width < n else None for at in held}
+            if len(left) > 1 and len(right) > 1:
+                found, longest = found + 1, width
+    return under(5), found, under(least), longest
