@@ -9,12 +9,18 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Callable, Iterable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from math import ceil
 
+import numpy as np
 from pyspark import SparkContext
 from pyspark.ml import Model
+from pyspark.ml.feature import ElementwiseProduct
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import (
+    DecisionTreeRegressionModel,
+    DecisionTreeRegressor,
     GBTRegressionModel,
     GBTRegressor,
     LinearRegression,
@@ -41,29 +47,39 @@ FORESTS = {
     },
 }
 BOOSTED = {"maxIter": 100, "maxDepth": 6, "stepSize": 0.1}
-EARLY_STOPPED = {"maxDepth": 6, "stepSize": 0.1, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}
+EARLY_STOPPED = {"maxDepth": 6}
+STEP, ROW_SHARE, COLUMN_SHARE = 0.1, 0.8, 0.8
 MAX_ROUNDS, PATIENCE = 500, 20
 
-# Parts that training rows are placed in, on any cluster: Spark draws the samples of
-# trees part by part, so the number is a parameter of the result. Tens of millions
-# of rows a part are in order.
-PARTS = 16
+# Training rows are placed in as many parts on any cluster: Spark draws the samples of
+# trees part by part, so their number belongs to the result. It follows the rows alone.
+LEAST_PARTS, ROWS_A_PART = 8, 2_000_000
+
+CHECKPOINT_ROUNDS = 10  # rounds whose lineage is cut at once
 
 
 @dataclass(frozen=True)
 class TrainingData:
-    """Prepared rows: a feature vector and the label side by side in each row."""
+    """Prepared rows: a feature vector and the label side by side in each row.
+
+    ``parts`` is the number of parts that training rows are placed in for trees; by
+    default it follows their number. ``placed`` holds them as they were placed once
+    for several models.
+    """
 
     train: DataFrame
     val: DataFrame
     label: str
     features: str = "scaledFeatures"
-    parts: int = PARTS
+    parts: int | None = None
+    placed: DataFrame | None = None
 
     def columns(self) -> dict[str, str]:
         return {"labelCol": self.label, "featuresCol": self.features}
 
 
+MARK = "__mark"  # hash of a training row's values
+
 Fit = Callable[[TrainingData], Model]
 
 
@@ -83,16 +99,21 @@ class ModelRun:
     error: str | None = None
 
 
+def parts_for(rows: int) -> int:
+    return max(LEAST_PARTS, ceil(rows / ROWS_A_PART))
+
+
 def placed(data: TrainingData) -> DataFrame:
     """Training rows in a fixed number of parts and order that depend on their values alone.
 
     The same rows give the same trees, whatever the files and the cluster they come
     from. Rows that hash alike are the same row to a model.
     """
+    if data.placed is not None:
+        return data.placed
     mark = F.xxhash64(F.col(data.label), vector_to_array(F.col(data.features)))
-    return (
-        data.train.withColumn("__mark", mark).repartition(data.parts, "__mark").sortWithinPartitions("__mark").drop("__mark")
-    )
+    rows = data.train.select(data.features, data.label).withColumn(MARK, mark)
+    return rows.repartition(data.parts or parts_for(rows.count()), MARK).sortWithinPartitions(MARK)
 
 
 # --- linear family -----------------------------------------------------------
@@ -161,60 +182,98 @@ def best_round(errors: Sequence[float], patience: int) -> tuple[int, bool]:
     return best + 1, False
 
 
-def first_rounds(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
-    """The model as it was after some rounds: its first trees and their weights.
+def assembled(
+    trees: Sequence[DecisionTreeRegressionModel], weights: Sequence[float], features: str = "scaledFeatures", label: str = "label"
+) -> GBTRegressionModel:
+    """Trees on the same vector and their weights as one boosted model.
 
-    Spark's public constructor for this is on the JVM side only. A new fit with
-    fewer rounds gives the same trees, at the cost of fitting them again.
+    Spark's public constructor for this is on the JVM side only; the model scores in
+    one pass, names its importances and is saved like any other.
     """
-    if rounds >= model.getNumTrees:
-        return model
     context = SparkContext._active_spark_context
     regression = context._jvm.org.apache.spark.ml.regression
-    trees = context._gateway.new_array(regression.DecisionTreeRegressionModel, rounds)
-    weights = context._gateway.new_array(context._jvm.double, rounds)
-    for i, (tree, weight) in enumerate(zip(model.trees[:rounds], model.treeWeights)):
-        trees[i], weights[i] = tree._java_obj, float(weight)
-    shorter = GBTRegressionModel(
-        regression.GBTRegressionModel(f"{model.uid}_{rounds}", trees, weights, model.numFeatures)
+    jtrees = context._gateway.new_array(regression.DecisionTreeRegressionModel, len(trees))
+    jweights = context._gateway.new_array(context._jvm.double, len(trees))
+    for i, (tree, weight) in enumerate(zip(trees, weights)):
+        jtrees[i], jweights[i] = tree._java_obj, float(weight)
+    whole = GBTRegressionModel(
+        regression.GBTRegressionModel(f"{trees[0].uid}_{len(trees)}", jtrees, jweights, trees[0].numFeatures)
     )
-    for param, value in model.extractParamMap().items():
-        if param.name != "maxIter" and shorter.hasParam(param.name):
-            shorter.set(shorter.getParam(param.name), value)
-    return shorter.copy()  # hands the settings to the JVM side
-
-
-def early_stopped(
-    max_rounds: int = MAX_ROUNDS,
-    patience: int = PATIENCE,
-    first_block: int = PATIENCE + 1,
-    seed: int = SEED,
-    **overrides,
-) -> Fit:
-    """Boosting that stops once validation error has not improved for ``patience`` rounds.
-
-    Spark's own stop looks one round ahead only. Here the number of rounds is
-    doubled until the error curve shows the stop; the same seed gives the same
-    trees, so the model kept is a prefix of the one fitted last.
+    whole.set(whole.labelCol, label)
+    whole.set(whole.featuresCol, features)
+    return whole.copy()  # hands the settings to the JVM side
+
+
+def columns_of(round_no: int, slots: int, share: float, seed: int) -> list[int]:
+    """The slots that the tree of a round may split on: a seeded share of them, one at least."""
+    chosen = np.random.default_rng([seed, round_no]).permutation(slots)[: max(1, int(share * slots))]
+    return sorted(int(i) for i in chosen)
+
+
+def boost(
+    data: TrainingData, max_rounds: int, patience: int | None, step: float = STEP, row_share: float = ROW_SHARE,
+    column_share: float = COLUMN_SHARE, seed: int = SEED, **params,
+) -> tuple[GBTRegressionModel, list[float]]:
+    """Boost round by round; the model of the best round, and the validation error of every round fitted.
+
+    The state of the loop is a table: label, features, residual and round of each row.
+    A round fits one tree on a share of the training rows, chosen by a hash of their
+    values, and on a share of the slots (the others are multiplied by 0, so no split
+    falls on them and slots keep their numbers). The residuals that it leaves are the
+    next state, which the next tree's first pass fills; those of the validation rows
+    give its error. No round is fitted twice: the loop ends ``patience`` rounds after
+    the best one. The first tree counts whole, the others fit twice the residual and
+    count by ``step``, as in Spark's own boosting. Every tenth state is checkpointed.
     """
-    params = {**EARLY_STOPPED, **overrides}
-
-    def fit(data: TrainingData) -> Model:
-        shared_dir(data.train.sparkSession)
-        train, val = placed(data).persist(), data.val.persist()
-        try:
-            rounds = min(first_block, max_rounds)
-            while True:
-                model = GBTRegressor(**data.columns(), seed=seed, maxIter=rounds, **params).fit(train)
-                keep, stopped = best_round(model.evaluateEachIteration(val, "squared"), patience)
-                if stopped or rounds == max_rounds:
-                    return first_rounds(model, keep)
-                rounds = min(max_rounds, rounds * 2)
-        finally:
-            train.unpersist()
-            val.unpersist()
-
-    return fit
+    shared_dir(data.train.sparkSession)
+    residual, target, turn = "__residual", "__target", "__round"
+
+    def begin(rows: DataFrame) -> DataFrame:
+        return rows.withColumns({residual: F.col(data.label).cast("double"), turn: F.lit(0)}).drop(data.label).persist()
+
+    train = begin(placed(data))
+    val = begin(data.val.select(data.features, data.label).withColumn(MARK, F.lit(0).cast("bigint")))
+    drawn = F.pmod(F.xxhash64(MARK, turn, F.lit(seed)), F.lit(10_000)) < int(row_share * 10_000)
+    trees: list[DecisionTreeRegressionModel] = []
+    errors: list[float] = []
+    older: list[DataFrame] = []
+    try:
+        slots = len(train.first()[data.features])
+        for at in range(max_rounds):
+            mask = np.zeros(slots)
+            mask[columns_of(at, slots, column_share, seed)] = 1.0
+            masked = ElementwiseProduct(scalingVec=Vectors.dense(mask), inputCol=data.features, outputCol="__masked")
+            sample = train.filter(drawn).withColumn(target, F.col(residual) * (2.0 if at else 1.0))
+            tree = DecisionTreeRegressor(
+                featuresCol="__masked", labelCol=target, predictionCol="__step", seed=seed, maxMemoryInMB=512, **params
+            ).fit(masked.transform(sample)).setFeaturesCol(data.features)
+            trees.append(tree)
+            left = (F.col(residual) - F.col("__step") * (step if at else 1.0)).alias(residual)
+            states = []
+            for state in (train, val):
+                moved = tree.transform(state).select(data.features, MARK, left, (F.col(turn) + 1).alias(turn)).persist()
+                if at % CHECKPOINT_ROUNDS == CHECKPOINT_ROUNDS - 1:
+                    kept = moved.checkpoint()
+                    moved.unpersist()
+                    moved = kept
+                states.append(moved)
+            errors.append(states[1].agg(F.avg(F.col(residual) * F.col(residual))).first()[0])
+            done, older = older, [train, val]  # the state before is filled only by the next tree
+            for state in done:
+                state.unpersist()
+            train, val = states
+            if patience is not None and best_round(errors, patience)[1]:
+                break
+    finally:
+        for state in (*older, train, val):
+            state.unpersist()
+    keep = best_round(errors, len(errors))[0] if patience is not None else len(trees)
+    return assembled(trees[:keep], [1.0, *[step] * (keep - 1)], data.features, data.label), errors
+
+
+def early_stopped(max_rounds: int = MAX_ROUNDS, patience: int = PATIENCE, seed: int = SEED, **overrides) -> Fit:
+    """Boosting that stops once validation error has not improved for ``patience`` rounds."""
+    return lambda data: boost(data, max_rounds, patience, seed=seed, **{**EARLY_STOPPED, **overrides})[0]
 
 
 # --- families and loop -------------------------------------------------------
@@ -246,14 +305,19 @@ def early_stop_specs() -> list[ModelSpec]:
 def train_all(specs: Iterable[ModelSpec], data: TrainingData) -> list[ModelRun]:
     """Fit every model; one that fails is reported and does not stop the others."""
     runs = []
-    for order, spec in enumerate(specs):
-        started = time.monotonic()
-        try:
-            model = spec.fit(data)
-            runs.append(ModelRun(spec.name, order, "ok", time.monotonic() - started, model))
-        except Exception as error:  # noqa: BLE001 - any failure belongs to this model only
-            log.warning("training %s failed: %s", spec.name, error)
-            runs.append(ModelRun(spec.name, order, "failed", time.monotonic() - started, error=str(error)))
+    rows = placed(data).persist()  # filled by the first tree that asks for them
+    data = replace(data, placed=rows)
+    try:
+        for order, spec in enumerate(specs):
+            started = time.monotonic()
+            try:
+                model = spec.fit(data)
+                runs.append(ModelRun(spec.name, order, "ok", time.monotonic() - started, model))
+            except Exception as error:  # noqa: BLE001 - any failure belongs to this model only
+                log.warning("training %s failed: %s", spec.name, error)
+                runs.append(ModelRun(spec.name, order, "failed", time.monotonic() - started, error=str(error)))
+    finally:
+        rows.unpersist()
     return runs
 
 

@@ -513,6 +513,41 @@ def gain_importance(spark, sf):
     return explanation.gain_importance(spark, model, CALENDAR)
 
 
+# Stumps on columns with few values: every cut is tried, so plain SQL finds the same ones.
+STUMP = {"maxDepth": 1, "maxBins": 64}
+ROUNDS = 5
+
+
+def _stumps(fit: modeling.Fit) -> Query:
+    def query(spark, sf):
+        items, split, data = _item_data(spark, sf, ITEM_FEATURES)
+        scored = split.apply(fit(data).transform(items))
+        errors = evaluation.metrics(scored, "l_extendedprice", {"model": "prediction"})
+        return errors.select("split", "n", _round("rmse", 4).alias("rmse"), _round("r2").alias("r2"))
+
+    return query
+
+
+def boosted_loop(data: modeling.TrainingData):
+    """The loop that goes on from round to round, with all rows and columns in each."""
+    return modeling.boost(data, ROUNDS, None, row_share=1.0, column_share=1.0, **STUMP)[0]
+
+
+def feature_importance_stumps(spark, sf):
+    _, _, data = _item_data(spark, sf, ITEM_FEATURES)
+    model = modeling.boosted(maxIter=ROUNDS, **STUMP)(data)
+    return explanation.importance_table(spark, model, ITEM_FEATURES).select("feature", _round("importance").alias("importance"))
+
+
+def gain_importance_stumps(spark, sf):
+    """Gains in millions, for there are prices in them."""
+    _, _, data = _item_data(spark, sf, ITEM_FEATURES)
+    table = explanation.gain_importance(spark, boosted_loop(data), ITEM_FEATURES)
+    return table.select(
+        "feature", "n_splits", _round(F.col("mean_gain") / 1e6, 4).alias("mean_gain"), _round("gain_share").alias("gain_share")
+    )
+
+
 def model_timing(spark, sf):
     """The linear models trained in the loop, with a failing one among them."""
     _, _, data = _event_training(spark, sf)
@@ -633,6 +668,11 @@ QUERIES: dict[str, Query] = {
     "gbt_early_stop": _trees(modeling.early_stopped()),
     "feature_importance": feature_importance,
     "gain_importance": gain_importance,
+    "tree_stump": _stumps(modeling.forest(numTrees=1, featureSubsetStrategy="all", bootstrap=False, **STUMP)),
+    "boosted_stumps": _stumps(modeling.boosted(maxIter=ROUNDS, **STUMP)),
+    "boosted_loop_stumps": _stumps(boosted_loop),
+    "feature_importance_stumps": feature_importance_stumps,
+    "gain_importance_stumps": gain_importance_stumps,
     "model_timing": model_timing,
     "sink_roundtrip": sink_roundtrip,
     "evaluation_sink": evaluation_sink,

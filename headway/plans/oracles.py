@@ -265,6 +265,44 @@ errors AS (
 SELECT row_number() OVER (ORDER BY rmse) AS place, reg_param, {_r("rmse", 4)} AS rmse FROM errors
 """
 
+# Boosted stumps: in each round the best cut of all columns by running sums over their values.
+STUMP_COLUMNS = {"l_quantity": "q", "l_discount": "d", "l_tax": "t", "l_linenumber": "k"}
+
+
+def _stump_rounds(rounds: int) -> str:
+    columns = ", ".join(f"{c}::DOUBLE AS {a}" for c, a in STUMP_COLUMNS.items())
+    parts = [f"{ITEM_SPLIT}", f"state0 AS (SELECT split, {columns}, l_extendedprice AS y, 0.0::DOUBLE AS p FROM parted)"]
+    for at in range(rounds):
+        target, weight = ("y", "1.0::DOUBLE") if at == 0 else ("2 * (y - p)", "0.1::DOUBLE")
+        values = " UNION ALL ".join(
+            f"SELECT {i} AS f, {a} AS x, {target} AS r FROM state{at} WHERE split = 'train'" for i, a in enumerate(STUMP_COLUMNS.values())
+        )
+        own = " ".join(f"WHEN {i} THEN {a}" for i, a in enumerate(STUMP_COLUMNS.values()))
+        parts += [
+            f"middle{at} AS (SELECT avg({target}) AS m FROM state{at} WHERE split = 'train')",
+            f"sums{at} AS (SELECT f, x, count(*)::DOUBLE AS n, sum(r - m) AS s FROM ({values}), middle{at} GROUP BY f, x)",
+            f"running{at} AS (SELECT f, x, sum(n) OVER upto AS nl, sum(s) OVER upto AS sl, sum(n) OVER whole AS n, sum(s) OVER whole AS s "
+            f"FROM sums{at} WINDOW upto AS (PARTITION BY f ORDER BY x), whole AS (PARTITION BY f))",
+            f"best{at} AS (SELECT f, x AS cut, m + sl / nl AS lo, m + (s - sl) / (n - nl) AS hi, "
+            f"(sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n) / n AS gain "
+            f"FROM running{at}, middle{at} WHERE nl < n ORDER BY gain DESC, f, x LIMIT 1)",
+            f"state{at + 1} AS (SELECT split, {', '.join(STUMP_COLUMNS.values())}, y, "
+            f"p + {weight} * CASE WHEN CASE f {own} END <= cut THEN lo ELSE hi END AS p FROM state{at}, best{at})",
+        ]
+    cuts = " UNION ALL ".join(f"SELECT f, gain FROM best{at}" for at in range(rounds))
+    return ",\n".join([*parts, f"cuts AS ({cuts})"])
+
+
+def _stump_errors(rounds: int) -> str:
+    return f"""
+WITH {_stump_rounds(rounds)},
+errors AS (SELECT split, {ERRORS} FROM state{rounds} GROUP BY split)
+SELECT split, n, {_r("rmse", 4)} AS rmse, {_r("r2")} AS r2 FROM errors
+"""
+
+
+STUMP_NAMES = "(VALUES " + ", ".join(f"({i}, '{c}')" for i, c in enumerate(STUMP_COLUMNS)) + ") names(f, feature)"
+
 DAILY = """
 means AS (SELECT o_orderpriority, avg(o_totalprice) AS prediction FROM orders GROUP BY 1),
 daily AS (
@@ -381,6 +419,20 @@ SELECT event_id, split, {_r("prediction")} AS prediction, {_r("prediction - valu
     "lasso_1d": _one_feature(f"{_soft('cxy', '0.1::DOUBLE')} / vx"),
     "elastic_net_1d": _one_feature(_elastic("0.3::DOUBLE")),
     "grid_search": GRID_SEARCH,
+    "tree_stump": _stump_errors(1),
+    "boosted_stumps": _stump_errors(5),
+    "boosted_loop_stumps": _stump_errors(5),
+    "feature_importance_stumps": f"""
+WITH {_stump_rounds(5)}
+SELECT feature, {_r("coalesce(sum(gain), 0) / (SELECT sum(gain) FROM cuts)")} AS importance
+FROM {STUMP_NAMES} LEFT JOIN cuts USING (f) GROUP BY feature
+""",
+    "gain_importance_stumps": f"""
+WITH {_stump_rounds(5)}
+SELECT feature, count(*) AS n_splits, {_r("avg(gain) / 1e6", 4)} AS mean_gain,
+       {_r("sum(gain) / (SELECT sum(gain) FROM cuts)")} AS gain_share
+FROM {STUMP_NAMES} JOIN cuts USING (f) GROUP BY feature
+""",
     "model_metrics": f"""
 WITH {PREDICTED},
 errors AS (SELECT model, split, {ERRORS}, pow(corr(y, p), 2) AS r2_corr, stddev_pop(p) AS sp FROM long GROUP BY model, split)

@@ -36,13 +36,13 @@ class RunConfig:
 
     ``key`` names columns that are unique together with the time: they break ties
     of the split. Without them a hash of all kept columns does, so that the parts
-    hold the same rows however the source is cut into files. ``parts`` is the fixed
-    number of parts that training rows are placed in; see ``modeling.PARTS``.
+    hold the same rows however the source is cut into files. ``parts`` is the number
+    of parts that training rows are placed in; by default it follows their number.
     """
 
     time: str = TIME
     key: Sequence[str] = ()
-    parts: int = modeling.PARTS
+    parts: int | None = None
     label: str = LABEL
     numeric: Sequence[str] = NUMERIC
     required: Sequence[str] = REQUIRED

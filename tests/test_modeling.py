@@ -3,7 +3,7 @@ import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from headway.operators import modeling
+from headway.operators import explanation, modeling
 from headway.operators.modeling import ModelSpec, TrainingData
 
 COEFFICIENTS = (3.0, -2.0, 0.0)
@@ -77,26 +77,48 @@ def test_best_round():
     assert modeling.best_round([1, 1, 1], 2) == (1, True)
 
 
-def test_first_rounds_equal_a_shorter_fit(data):
-    params = dict(modeling.EARLY_STOPPED, maxDepth=3)
-    train = data.train.repartition(2).cache()
-    fits = {
-        n: modeling.GBTRegressor(**data.columns(), seed=42, maxIter=n, **params).fit(train) for n in (3, 8)
-    }
-    cut = modeling.first_rounds(fits[8], 3)
-    assert cut.getNumTrees == 3 and list(cut.treeWeights) == list(fits[3].treeWeights)
-    a = [r[0] for r in cut.transform(train).orderBy("id").select("prediction").collect()]
-    b = [r[0] for r in fits[3].transform(train).orderBy("id").select("prediction").collect()]
-    assert a == b
-    assert modeling.first_rounds(fits[3], 5) is fits[3]
+def _predictions(model, df):
+    return [r[0] for r in model.transform(df).orderBy("id").select("prediction").collect()]
 
 
-def test_early_stop_keeps_the_best_round(data):
-    fit = modeling.early_stopped(max_rounds=24, patience=3, first_block=6, maxDepth=3, stepSize=0.5)
-    model = fit(data)
-    errors = model.evaluateEachIteration(data.val, "squared")
-    assert model.getNumTrees <= 24
-    assert min(errors) == errors[-1]
+def test_boosting_equals_sparks_own(data):
+    """With every row and slot in every round the loop gives the trees of Spark's boosting."""
+    model, errors = modeling.boost(data, 6, None, row_share=1.0, column_share=1.0, maxDepth=3)
+    own = modeling.GBTRegressor(**data.columns(), maxIter=6, maxDepth=3, stepSize=0.1).fit(data.train)
+    assert list(model.treeWeights) == list(own.treeWeights)
+    assert _predictions(model, data.val) == pytest.approx(_predictions(own, data.val))
+    assert errors == pytest.approx(own.evaluateEachIteration(data.val, "squared"))
+
+
+def test_a_longer_loop_begins_like_a_shorter_one(data):
+    short, first = modeling.boost(data, 3, None, maxDepth=3)
+    long, errors = modeling.boost(data, 12, None, maxDepth=3)  # with a checkpoint on the way
+    assert errors[:3] == pytest.approx(first) and long.getNumTrees == 12
+    cut = modeling.assembled(long.trees[:3], long.treeWeights[:3])
+    assert _predictions(cut, data.val) == pytest.approx(_predictions(short, data.val))
+
+
+def test_early_stop_fits_no_round_beyond_its_patience(data):
+    model, errors = modeling.boost(data, 24, 3, step=0.5, maxDepth=3)
+    best = int(np.argmin(errors)) + 1
+    assert model.getNumTrees == best and len(errors) <= min(24, best + 3)
+    assert model.evaluateEachIteration(data.val, "squared")[-1] == pytest.approx(min(errors))
+
+
+def test_a_tree_splits_only_on_its_own_columns(spark, data):
+    """Slots are numbered as in the whole vector, in the trees and in both importances."""
+    model, _ = modeling.boost(data, 5, None, column_share=0.4, maxDepth=2)
+    for at, tree in enumerate(model.trees):
+        used = set(np.flatnonzero(tree.featureImportances.toArray()))
+        assert used <= set(modeling.columns_of(at, 3, 0.4, modeling.SEED)) and len(used) == 1
+    gains = {r["feature"] for r in explanation.gain_importance(spark, model, list("abc")).collect()}
+    named = {r["feature"]: r["importance"] for r in explanation.importance_table(spark, model, list("abc")).collect()}
+    assert gains == {f for f, v in named.items() if v > 0}
+
+
+def test_parts_follow_the_rows():
+    assert modeling.parts_for(10) == modeling.LEAST_PARTS
+    assert modeling.parts_for(100 * modeling.ROWS_A_PART) == 100
 
 
 def test_forest_importances_and_failure_isolation(spark, data):
@@ -126,7 +148,7 @@ def test_trees_do_not_depend_on_the_partitions(data):
 def test_importances_of_a_cut_model_name_every_feature(spark, data):
     flat = data.train.withColumn("y", F.lit(1.0))
     model = modeling.boosted(maxIter=3, maxDepth=2)(TrainingData(flat, flat, "y"))
-    cut = modeling.first_rounds(model, 1)
+    cut = modeling.assembled(model.trees[:1], model.treeWeights[:1])
     assert len(cut.featureImportances) == model.numFeatures
 
 
