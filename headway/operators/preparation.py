@@ -6,10 +6,10 @@ constants. There are as many of them as columns, not rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 
@@ -48,46 +48,35 @@ def unstandardize(df: DataFrame, scaling: dict[str, tuple[float, float]]) -> Dat
     )
 
 
-def feature_stages(
-    features: Sequence[str],
-    output: str = "scaledFeatures",
-    categorical: Sequence[str] = (),
-) -> Pipeline:
+def feature_stages(features: Sequence[str], output: str = "scaledFeatures", categorical: Sequence[str] = ()) -> Pipeline:
     """Mean imputation, assembly and standardisation as one Spark ML pipeline.
 
-    Text columns, off by default, are indexed by frequency and one-hot encoded;
-    a category not seen in training gets its own slot.
+    Columns of category codes (see ``categories.encode``), off by default, are one-hot
+    encoded and put behind the scaled numbers as they are: not centred, so the vector
+    stays sparse. A code beyond the dictionary has no slot.
     """
     filled = [f"{c}_filled" for c in features]
-    stages = [Imputer(strategy="mean", inputCols=list(features), outputCols=filled)]
-    inputs = list(filled)
+    scaled = "scaledNumbers" if categorical else output
+    stages = [
+        Imputer(strategy="mean", inputCols=list(features), outputCols=filled),
+        VectorAssembler(inputCols=filled, outputCol="features", handleInvalid="error"),
+        StandardScaler(inputCol="features", outputCol=scaled, withMean=True, withStd=True),
+    ]
     if categorical:
-        indexed = [f"{c}_index" for c in categorical]
         encoded = [f"{c}_onehot" for c in categorical]
         stages += [
-            StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep"),
-            OneHotEncoder(inputCols=indexed, outputCols=encoded),
+            OneHotEncoder(inputCols=list(categorical), outputCols=encoded, dropLast=True),
+            VectorAssembler(inputCols=[scaled, *encoded], outputCol=output, handleInvalid="error"),
         ]
-        inputs += encoded
-    stages += [
-        VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error"),
-        StandardScaler(inputCol="features", outputCol=output, withMean=True, withStd=True),
-    ]
     return Pipeline(stages=stages)
 
 
-def slot_names(model: PipelineModel, df: DataFrame, features: Sequence[str], categorical: Sequence[str]) -> list[str]:
-    """The column behind each slot of the feature vector."""
-    names = list(features)
-    if categorical:
-        attributes = model.transform(df).schema["features"].metadata["ml_attr"]["attrs"]
-        slots = sorted((a["idx"], a["name"]) for group in attributes.values() for a in group)
-        longest = sorted(categorical, key=len, reverse=True)
-        names += [next(c for c in longest if name.startswith(f"{c}_onehot")) for _, name in slots[len(features) :]]
-    return names
+def slot_names(features: Sequence[str], sizes: Mapping[str, int]) -> list[str]:
+    """The column behind each slot of the feature vector; ``sizes`` are the values of each category."""
+    return [*features, *[c for c, n in sizes.items() for _ in range(n)]]
 
 
 def fit_features(df: DataFrame, features: Sequence[str], categorical: Sequence[str] = ()) -> PipelineModel:
-    """Fit the feature stages; text categories are indexed by frequency."""
+    """Fit the feature stages; ``categorical`` names columns of codes."""
     numeric = df.withColumns({c: F.col(c).cast("double") for c in features})
     return feature_stages(features, categorical=categorical).fit(numeric)

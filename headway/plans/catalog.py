@@ -9,13 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from headway.functions.calendar import calendar_columns, is_month_end
 from headway.functions.parsing import epoch_seconds
-from headway.operators import charts, cleaning, evaluation, explanation, modeling, ordering, preparation, timeseries
+from headway.operators import categories, charts, cleaning, evaluation, explanation, modeling, ordering, preparation, timeseries
 from headway.plans import trip_arrival
 from headway.schema import CALENDAR, ENSEMBLE
 from headway.session import use_utc
@@ -195,10 +195,23 @@ def inverse_scale(spark, sf):
 
 
 def categorical_index(spark, sf):
-    """Event types indexed by how frequent they are, ties by name."""
+    """Event types coded by how frequent they are, ties by name."""
     events = _table(spark, sf, "events").select("event_id", "event_type")
-    indexer = StringIndexer(inputCol="event_type", outputCol="index", handleInvalid="keep")
-    return indexer.fit(events).transform(events).select("event_id", F.col("index").cast("bigint").alias("index"))
+    coded = categories.encode(events, categories.fit_dictionaries(events, ["event_type"]))
+    return coded.select("event_id", F.col("event_type_code").cast("bigint").alias("index"))
+
+
+def categorical_onehot(spark, sf):
+    """The whole feature vector: a scaled number, and the event types that the training rows without errors hold."""
+    events = _table(spark, sf, "events")
+    train = _event_split(events).rows(events, "train").filter(F.col("event_type") != "error")
+    dictionaries = categories.fit_dictionaries(train, ["event_type"])
+    fitted = preparation.fit_features(categories.encode(train, dictionaries), ["value"], ["event_type_code"])
+    values = vector_to_array("scaledFeatures")
+    return fitted.transform(categories.encode(events, dictionaries)).select(
+        "event_id", _round(values[0]).alias("z"), F.size(values).cast("bigint").alias("slots"),
+        *[values[i].alias(f"slot_{i}") for i in range(1, 5)],
+    )
 
 
 # --- linear models -----------------------------------------------------------
@@ -630,6 +643,7 @@ QUERIES: dict[str, Query] = {
     "standard_scale": standard_scale,
     "inverse_scale": inverse_scale,
     "categorical_index": categorical_index,
+    "categorical_onehot": categorical_onehot,
     "ols_metrics": ols_metrics,
     "ols_predictions": ols_predictions,
     "least_squares_2d": least_squares_2d,

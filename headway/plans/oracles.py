@@ -402,6 +402,16 @@ SELECT event_id, {_r("(value - (SELECT avg(value) FROM events)) / (SELECT stddev
 WITH freq AS (SELECT event_type, count(*) AS n FROM events GROUP BY event_type),
 indexed AS (SELECT event_type, row_number() OVER (ORDER BY n DESC, event_type) - 1 AS index FROM freq)
 SELECT event_id, index FROM events JOIN indexed USING (event_type)
+""",
+    "categorical_onehot": f"""
+WITH {EVENT_SPLIT},
+train AS (SELECT * FROM parted WHERE split = 'train' AND event_type <> 'error'),
+freq AS (SELECT event_type, count(*) AS n FROM train GROUP BY event_type),
+coded AS (SELECT event_type, row_number() OVER (ORDER BY n DESC, event_type) AS slot FROM freq),
+spread AS (SELECT avg(value) AS m, stddev_samp(value) AS s FROM train)
+SELECT event_id, {_r("(value - m) / s")} AS z, 1 + (SELECT count(*) FROM freq) AS slots,
+       {", ".join(f"CASE WHEN slot = {i} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS slot_{i}" for i in range(1, 5))}
+FROM events LEFT JOIN coded USING (event_type), spread
 """,
     "ols_metrics": f"""
 WITH {OLS_EVENTS},

@@ -16,7 +16,7 @@ from pyspark.ml import Model, PipelineModel
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from headway.functions.calendar import calendar_columns
-from headway.operators import charts, cleaning, evaluation, explanation, modeling, ordering, preparation, timeseries
+from headway.operators import categories, charts, cleaning, evaluation, explanation, modeling, ordering, preparation, timeseries
 from headway.schema import ENSEMBLE, FEATURES, LABEL, NUMERIC, REQUIRED, TIME
 from headway.session import use_utc
 from headway.sources import writing
@@ -84,12 +84,13 @@ class RunResult:
     members: list[str]
     best: str | None
     tables: dict[str, DataFrame]
+    dictionaries: dict[str, categories.Dictionary] = field(default_factory=dict)
 
     def model(self, name: str) -> Model:
         return next(r.model for r in self.runs if r.name == name)
 
     def pipeline(self, name: str) -> PipelineModel:
-        """Feature stages and model in one: scores rows that are only cleaned."""
+        """Feature stages and model in one: scores rows that are cleaned and, with categories, encoded."""
         return PipelineModel(stages=[*self.feature_model.stages, self.model(name)])
 
 
@@ -185,10 +186,12 @@ def run(spark: SparkSession, raw: DataFrame, config: RunConfig = RunConfig()) ->
     prepared = prepare(spark, raw, config, folder)
     features = prepared.features
     training = prepared.part(prepared.rows, "train")
-    feature_model = preparation.fit_features(
-        training if config.fit_on == "train" else prepared.rows, features, config.categorical
-    )
-    scaled = feature_model.transform(prepared.rows)
+    fitted_on = training if config.fit_on == "train" else prepared.rows
+    dictionaries = categories.fit_dictionaries(fitted_on, config.categorical, folder)
+    codes = [categories.code_name(c) for c in dictionaries]
+    rows, fitted_on = (categories.encode(df, dictionaries) for df in (prepared.rows, fitted_on))
+    feature_model = preparation.fit_features(fitted_on, features, codes)
+    scaled = feature_model.transform(rows)
 
     def part(name: str) -> DataFrame:
         return prepared.part(scaled, name).select("scaledFeatures", config.label)
@@ -201,7 +204,7 @@ def run(spark: SparkSession, raw: DataFrame, config: RunConfig = RunConfig()) ->
     imputed = [F.col(f"{c}_filled").alias(c) for c in features]
     predicted = [f"`{modeling.prediction_column(n)}`" for n in names]
     scored = modeling.score(scaled, runs).select(
-        ROW_ID, config.time, "split", config.label, *imputed, *config.categorical, *predicted
+        ROW_ID, config.time, "split", config.label, *imputed, *codes, *predicted
     )
     predictions = writing.stage(scored, "predictions", ["split"], folder)
 
@@ -229,7 +232,7 @@ def run(spark: SparkSession, raw: DataFrame, config: RunConfig = RunConfig()) ->
         "split string, model string, model_order int, n bigint, rmse double, r2 double, r2_corr double",
     )
     result = RunResult(
-        folder, prepared, feature_model, runs, predictions, metrics, frame(table), members, best, {}
+        folder, prepared, feature_model, runs, predictions, metrics, frame(table), members, best, {}, dictionaries
     )
     result.tables = chart_tables(spark, result, config, names)
     return result
@@ -270,7 +273,7 @@ def chart_tables(spark: SparkSession, result: RunResult, config: RunConfig, name
     # The best single model is explained, also where the ensemble is ahead of it.
     single = result.best if result.best != ENSEMBLE else result.members[0]
     model, features = result.model(single), result.prepared.features
-    slots = preparation.slot_names(result.feature_model, result.prepared.rows, features, config.categorical)
+    slots = preparation.slot_names(features, {c: d.size for c, d in result.dictionaries.items()})
     importance = explanation.importance_table(spark, model, slots)
     # Text columns have an importance; lines, correlations and grids are of numbers.
     top = [f for f in explanation.top_features(importance, 10 + len(config.categorical)) if f in features][:10]
@@ -284,7 +287,7 @@ def chart_tables(spark: SparkSession, result: RunResult, config: RunConfig, name
     tables["dependence_lines"] = explanation.dependence_lines(explained, top[:5], y)
     tables["correlation"] = explanation.correlation_matrix(explained, top)
     tables["partial_dependence"] = explanation.partial_dependence(
-        result.pipeline(single), test, top[:3], features, carried=config.categorical
+        result.pipeline(single), test, top[:3], features, carried=[categories.code_name(c) for c in result.dictionaries]
     )
     return tables
 
@@ -293,6 +296,7 @@ def export(spark: SparkSession, result: RunResult, config: RunConfig, folder: st
     """Predictions of the best model on test rows, model table, chart tables, models."""
     writing.write_evaluation(result.evaluation, f"{folder}/model_evaluation.csv")
     writing.write_tables(result.tables, f"{folder}/charts")
+    writing.write_tables({c: d.table for c, d in result.dictionaries.items()}, f"{folder}/categories")
     writing.save_model(result.feature_model, f"{folder}/features")
     if result.best is None:
         return

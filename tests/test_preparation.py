@@ -2,7 +2,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from headway.operators import preparation
+from headway.operators import categories, preparation
 
 
 def _rows(spark):
@@ -47,8 +47,54 @@ def test_a_feature_without_values_is_refused(spark):
         preparation.fit_features(rows, ["x", "none"])
 
 
+def _codes(df, column="g"):
+    return {r[column]: r[f"{column}_code"] for r in df.select(column, f"{column}_code").distinct().collect()}
+
+
+def _words(spark, n=300):
+    """Values with unlike counts, ties among them, and nulls."""
+    rows = [(f"v{i:03d}",) for i in range(n) for _ in range(1 + i % 7)] + [(None,)] * 5
+    return spark.createDataFrame(rows, "g string")
+
+
+def _want(spark, n=300):
+    return {v: float(i) for i, v in enumerate(sorted((f"v{i:03d}" for i in range(n)), key=lambda v: (-(int(v[1:]) % 7), v)))}
+
+
+@pytest.mark.parametrize("sent, size", [(100_000, 1 << 24), (10, 1 << 24), (300, 0)])
+def test_codes_by_count_and_name(spark, monkeypatch, sent, size):
+    """Also with a tail that is joined by shuffle, and with values too long to be sent."""
+    monkeypatch.setattr(categories, "SENT_VALUES", sent)
+    monkeypatch.setattr(categories, "SENT_BYTES", size)
+    rows = _words(spark)
+    dictionary = categories.fit_dictionaries(rows, ["g"])["g"]
+    assert dictionary.size == 300
+    coded = categories.encode(rows, {"g": dictionary})
+    assert coded.count() == rows.count()
+    assert _codes(coded) == {**_want(spark), None: 300.0}
+    unseen = spark.createDataFrame([("new",), (None,)], "g string")
+    assert set(_codes(categories.encode(unseen, {"g": dictionary})).values()) == {300.0}
+
+
+def test_dictionaries_of_several_columns_and_of_none(spark):
+    rows = spark.createDataFrame([("a", "x"), ("b", "x"), ("a", None)], "g string, h string")
+    found = categories.fit_dictionaries(rows, ["h", "g"])
+    assert {c: [(r["value"], r["code"]) for r in d.table.orderBy("code").collect()] for c, d in found.items()} == {
+        "h": [("x", 0)], "g": [("a", 0), ("b", 1)],
+    }
+    empty = categories.fit_dictionaries(rows.filter("g = 'z'"), ["g"])
+    assert empty["g"].size == 0 and _codes(categories.encode(rows, empty)) == {"a": 0.0, "b": 0.0}
+    assert categories.fit_dictionaries(rows, []) == {} and categories.encode(rows, {}) is rows
+
+
 def test_categories_are_encoded_on_request(spark):
-    model = preparation.fit_features(_rows(spark), ["x"], ["g"])
-    unseen = spark.createDataFrame([(1.0, "new")], "x double, g string")
-    assert model.transform(_rows(spark)).select(vector_to_array("features")).first()[0] == [1.0, 1.0, 0.0]
-    assert model.transform(unseen).select(vector_to_array("features")).first()[0] == [1.0, 0.0, 0.0]
+    rows = _rows(spark)
+    dictionaries = categories.fit_dictionaries(rows, ["g"])
+    coded = categories.encode(rows, dictionaries)
+    model = preparation.fit_features(coded, ["x"], ["g_code"])
+    found = {(r["x"], r["g"]): list(r["scaledFeatures"].toArray()[1:]) for r in model.transform(coded).collect()}
+    assert found[1.0, "a"] == [1.0, 0.0] and found[2.0, "b"] == [0.0, 1.0]
+    unseen = categories.encode(spark.createDataFrame([(3.0, "new")], "x double, g string"), dictionaries)
+    vector = model.transform(unseen).first()["scaledFeatures"]
+    assert list(vector.toArray()) == [0.0, 0.0, 0.0] and len(vector.indices) == 0  # sparse, and without a slot
+    assert preparation.slot_names(["x"], {"g": 2}) == ["x", "g", "g"]
