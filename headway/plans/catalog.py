@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from headway.functions.calendar import calendar_columns, is_month_end
 from headway.functions.parsing import epoch_seconds
-from headway.operators import categories, charts, cleaning, evaluation, explanation, modeling, ordering, preparation, timeseries
+from headway.operators import categories, charts, cleaning, evaluation, explanation, gram, modeling, ordering, preparation, timeseries
 from headway.plans import trip_arrival
 from headway.schema import CALENDAR, ENSEMBLE
 from headway.session import use_utc
@@ -267,14 +267,49 @@ GRID = ({"regParam": 0.3}, {"regParam": 3.0}, {"regParam": 30.0})
 
 
 def grid_search(spark, sf):
-    """Elastic net at three penalties, ranked by the error on the validation rows."""
-    _, _, data = _item_data(spark, sf)
-    found = modeling.grid_search(modeling.elastic_net, GRID, data)
-    rows = [(i + 1, r.params["regParam"], float(r.rmse)) for i, r in enumerate(found)]
+    """Elastic net at three penalties from one pass over the rows, ranked by the error on the validation rows."""
+    items = _table(spark, sf, "lineitem")
+    parts = gram.moments(_item_split(items).apply(items), ["l_quantity"], "l_extendedprice", "split")
+    found = gram.search(gram.elastic_net, GRID, parts["train"], parts["val"])
+    rows = [(i + 1, r.params["regParam"], r.rmse) for i, r in enumerate(found)]
+    table = spark.createDataFrame(rows, "place bigint, reg_param double, rmse double")
+    return table.withColumn("rmse", _round("rmse", 4))
+
+
+def _yearly(spark, sf) -> dict:
+    """Moments of quantity and price for each year of shipping."""
+    return gram.moments(_table(spark, sf, "lineitem"), ["l_quantity"], "l_extendedprice", F.year("l_shipdate"))
+
+
+def rolling_folds(spark, sf):
+    """Each year predicted from all years before it, at three penalties."""
+    folds = gram.rolling(gram.elastic_net, GRID, _yearly(spark, sf))
+    rows = [(f.params["regParam"], f.block, f.n_train, f.n, f.rmse) for f in folds]
+    table = spark.createDataFrame(rows, "reg_param double, year bigint, n_train bigint, n bigint, rmse double")
+    return table.withColumn("rmse", _round("rmse", 4))
+
+
+def rolling_search(spark, sf):
+    found = gram.rolling_search(gram.elastic_net, GRID, _yearly(spark, sf))
+    rows = [(i + 1, setting["regParam"], rmse) for i, (setting, rmse) in enumerate(found)]
     table = spark.createDataFrame(rows, "place bigint, reg_param double, rmse double")
     return table.withColumn("rmse", _round("rmse", 4))
 
 
+def linear_family_2d(spark, sf):
+    """Least squares and ridge of two features from the same matrices, with their errors on every part."""
+    features = ["l_quantity", "l_linenumber"]
+    items = _table(spark, sf, "lineitem")
+    parts = gram.moments(_item_split(items).apply(items), features, "l_extendedprice", "split")
+    fits = {"LinearRegression": gram.least_squares(parts["train"]), "Ridge": gram.ridge(parts["train"])}
+    rows = [
+        (name, split, part.n, (fit.error(part) / part.n) ** 0.5, *map(float, fit.weights), fit.intercept)
+        for name, fit in fits.items() for split, part in parts.items()
+    ]
+    table = spark.createDataFrame(rows, "model string, split string, n bigint, rmse double, w_quantity double, w_linenumber double, intercept double")
+    return table.withColumns({c: _round(c, 4) for c in table.columns[3:]})
+
+
 def _ols_events(spark, sf) -> DataFrame:
     """Events with split and the least-squares prediction of value from hour and day."""
     events = _table(spark, sf, "events")
@@ -652,6 +687,9 @@ QUERIES: dict[str, Query] = {
     "lasso_1d": lasso_1d,
     "elastic_net_1d": elastic_net_1d,
     "grid_search": grid_search,
+    "rolling_folds": rolling_folds,
+    "rolling_search": rolling_search,
+    "linear_family_2d": linear_family_2d,
     "model_metrics": model_metrics,
     "evaluation_table": evaluation_table,
     "metric_long": metric_long,

@@ -265,6 +265,32 @@ errors AS (
 SELECT row_number() OVER (ORDER BY rmse) AS place, reg_param, {_r("rmse", 4)} AS rmse FROM errors
 """
 
+# Every year predicted from the rows of all years before it.
+ROLLING = f"""
+points AS (SELECT year(l_shipdate) AS year, l_quantity AS x, l_extendedprice AS y FROM lineitem),
+years AS (SELECT DISTINCT year FROM points),
+m AS (
+  SELECT years.year, count(*) AS n_train, avg(x) mx, avg(y) my, var_pop(x) vx, covar_pop(x, y) cxy, stddev_samp(x) sx, stddev_samp(y) sy
+  FROM years JOIN points ON points.year < years.year GROUP BY years.year),
+grid AS (SELECT unnest([0.3::DOUBLE, 3.0::DOUBLE, 30.0::DOUBLE]) AS reg_param),
+w AS (
+  SELECT m.*, reg_param, {_soft("cxy", "(0.8::DOUBLE * reg_param * sx)")} / (vx + 0.2::DOUBLE * reg_param * sx * sx / sy) AS wx
+  FROM m, grid),
+missed AS (
+  SELECT reg_param, year, n_train, pow(my + wx * (x - mx) - y, 2) AS e FROM w JOIN points USING (year))
+"""
+
+
+def _two_weights(model: str, penalty: str) -> str:
+    return f"""
+SELECT '{model}' AS model, split, count(*) AS n, sqrt(avg(pow(my + wx * (x - mx) + wz * (z - mz) - y, 2))) AS rmse,
+       any_value(wx) AS w_quantity, any_value(wz) AS w_linenumber, any_value(my - wx * mx - wz * mz) AS intercept
+FROM points, (
+  SELECT d.*, (cxy * az - czy * cxz) / (ax * az - cxz * cxz) AS wx, (czy * ax - cxy * cxz) / (ax * az - cxz * cxz) AS wz
+  FROM (SELECT m.*, vx + {penalty} AS ax, vz + {penalty} AS az FROM m) d)
+GROUP BY split"""
+
+
 # Boosted stumps: in each round the best cut of all columns by running sums over their values.
 STUMP_COLUMNS = {"l_quantity": "q", "l_discount": "d", "l_tax": "t", "l_linenumber": "k"}
 
@@ -429,6 +455,18 @@ SELECT event_id, split, {_r("prediction")} AS prediction, {_r("prediction - valu
     "lasso_1d": _one_feature(f"{_soft('cxy', '0.1::DOUBLE')} / vx"),
     "elastic_net_1d": _one_feature(_elastic("0.3::DOUBLE")),
     "grid_search": GRID_SEARCH,
+    "rolling_folds": f"""
+WITH {ROLLING} SELECT reg_param, year, any_value(n_train) AS n_train, count(*) AS n, {_r("sqrt(avg(e))", 4)} AS rmse
+FROM missed GROUP BY reg_param, year
+""",
+    "rolling_search": f"""
+WITH {ROLLING}, errors AS (SELECT reg_param, sqrt(avg(e)) AS rmse FROM missed GROUP BY reg_param)
+SELECT row_number() OVER (ORDER BY rmse) AS place, reg_param, {_r("rmse", 4)} AS rmse FROM errors
+""",
+    "linear_family_2d": f"""
+WITH {ITEM_MOMENTS}, every AS ({_two_weights("LinearRegression", "0")} UNION ALL {_two_weights("Ridge", "1.0::DOUBLE / n")})
+SELECT model, split, n, {", ".join(f"{_r(c, 4)} AS {c}" for c in ("rmse", "w_quantity", "w_linenumber", "intercept"))} FROM every
+""",
     "tree_stump": _stump_errors(1),
     "boosted_stumps": _stump_errors(5),
     "boosted_loop_stumps": _stump_errors(5),
