@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from headway.functions.binning import histogram_bin
 from headway.functions.stats import correlation, order_statistic_median, probit
 from headway.operators.ordering import global_row_number
+from headway.operators.selection import order_statistics, spread_ranks
 
 
 def residual_histogram(df: DataFrame, label: str, prediction: str, bins: int = 50) -> DataFrame:
@@ -61,6 +62,21 @@ def qq_points(df: DataFrame, label: str, prediction: str, key: str) -> DataFrame
     return ranked.withColumn("x", probit(order_statistic_median(F.col("rn"), n)))
 
 
+def qq_thin(df: DataFrame, label: str, prediction: str, most: int = 1000) -> DataFrame:
+    """Some order statistics of the residuals against their normal quantiles: (residual, rn, x).
+
+    They reach from the least residual to the greatest and are found without sorting.
+    """
+    rows = df.select((F.col(prediction) - F.col(label)).cast("double").alias("residual")).filter(
+        F.col("residual").isNotNull() & ~F.isnan("residual")
+    )
+    n = rows.count()
+    ranks = spread_ranks(n, most)
+    points = list(zip(order_statistics(rows, "residual", ranks), ranks))
+    table = df.sparkSession.createDataFrame(points, "residual double, rn bigint")
+    return table.withColumn("x", probit(order_statistic_median(F.col("rn"), max(n, 1))))
+
+
 def qq_line(points: DataFrame) -> DataFrame:
     """Least-squares line through the quantile points and its correlation."""
     return points.agg(

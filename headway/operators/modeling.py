@@ -7,8 +7,11 @@ validation rows are handed along for the one model that stops early on them.
 from __future__ import annotations
 
 import logging
+import threading
 import time
-from collections.abc import Callable, Iterable, Sequence
+import uuid
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 from math import ceil
 
@@ -26,7 +29,7 @@ from pyspark.ml.regression import (
     LinearRegression,
     RandomForestRegressor,
 )
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from headway.session import shared_dir
 
@@ -57,6 +60,10 @@ LEAST_PARTS, ROWS_A_PART = 8, 2_000_000
 
 CHECKPOINT_ROUNDS = 10  # rounds whose lineage is cut at once
 
+# Fixed value: seconds after which a model is given up.
+TIME_LIMIT = 1800.0
+CANCEL_EVERY = 0.2
+
 
 @dataclass(frozen=True)
 class TrainingData:
@@ -302,20 +309,54 @@ def early_stop_specs() -> list[ModelSpec]:
     ]
 
 
-def train_all(specs: Iterable[ModelSpec], data: TrainingData) -> list[ModelRun]:
-    """Fit every model; one that fails is reported and does not stop the others."""
+@contextmanager
+def time_limit(spark: SparkSession, seconds: float | None) -> Iterator[threading.Event]:
+    """Cancel the Spark jobs started inside once the time is over; the event says whether it was.
+
+    Jobs carry a tag of their own, so those of others go on. They are cancelled again
+    and again until the block is left: a fit is many jobs, and may be between two.
+    """
+    over, done = threading.Event(), threading.Event()
+    if seconds is None:
+        yield over
+        return
+    context, tag = spark.sparkContext, f"limited-{uuid.uuid4().hex}"
+
+    def watch() -> None:
+        if not done.wait(seconds):
+            over.set()
+            while not done.wait(CANCEL_EVERY):
+                context.cancelJobsWithTag(tag)
+
+    watcher = threading.Thread(target=watch, daemon=True)
+    context.addJobTag(tag)
+    watcher.start()
+    try:
+        yield over
+    finally:
+        done.set()
+        context.removeJobTag(tag)
+        watcher.join()
+
+
+def train_all(specs: Iterable[ModelSpec], data: TrainingData, limit: float | None = TIME_LIMIT) -> list[ModelRun]:
+    """Fit every model; one that fails or takes over ``limit`` seconds is reported and does not stop the others."""
     runs = []
     rows = placed(data).persist()  # filled by the first tree that asks for them
     data = replace(data, placed=rows)
     try:
         for order, spec in enumerate(specs):
-            started = time.monotonic()
-            try:
-                model = spec.fit(data)
-                runs.append(ModelRun(spec.name, order, "ok", time.monotonic() - started, model))
-            except Exception as error:  # noqa: BLE001 - any failure belongs to this model only
-                log.warning("training %s failed: %s", spec.name, error)
-                runs.append(ModelRun(spec.name, order, "failed", time.monotonic() - started, error=str(error)))
+            started, model, problem, status = time.monotonic(), None, None, "ok"
+            with time_limit(data.train.sparkSession, limit) as over:
+                try:
+                    model = spec.fit(data)
+                except Exception as error:  # noqa: BLE001 - any failure belongs to this model only
+                    problem, status = str(error), "failed"
+            if over.is_set():
+                model, status, problem = None, "timeout", f"not fitted in {limit:g} seconds"
+            if problem is not None:
+                log.warning("training %s: %s: %s", spec.name, status, problem)
+            runs.append(ModelRun(spec.name, order, status, time.monotonic() - started, model, problem))
     finally:
         rows.unpersist()
     return runs

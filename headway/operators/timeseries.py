@@ -57,3 +57,40 @@ def error_autocorrelation(daily: DataFrame, error: str = "error", lags: int = 30
         F.lit(Z95) * F.sqrt((F.lit(1.0) + F.lit(2.0) * before) / F.col("n"))
     )
     return rows.filter(F.col("lag") < F.col("n")).select("lag", "r", band.alias("band"))
+
+
+def error_partial_autocorrelation(autocorrelation: DataFrame) -> DataFrame:
+    """Partial autocorrelation by the Durbin-Levinson recursion: (lag, r, band), from the table of autocorrelations.
+
+    The recursion runs over an array of as many values as there are lags, as one
+    column expression. Only lags below half the length of the series are there, and
+    the band is that of independent values. A series without spread gives nulls.
+    """
+    series = autocorrelation.agg(
+        F.array_sort(F.collect_list(F.struct("lag", "r"))).alias("rows"), F.max(F.when(F.col("lag") == 1, F.col("band"))).alias("band")
+    ).filter(F.size("rows") > 1)
+    rs = F.transform("rows", lambda x: x["r"])
+    days = F.round(F.lit(Z95 * Z95) / (F.col("band") * F.col("band")))  # the band at lag 1 holds their number
+    last = F.least(F.size("rows") - 1, F.ceil(days / 2).cast("int") - 1)
+
+    def dot(a, b):
+        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
+
+    def step(acc, k):
+        before = F.slice(F.col("rs"), F.lit(2), k - 1)
+        phi = acc["phi"]
+        new = (F.element_at(F.col("rs"), k + 1) - dot(phi, F.reverse(before))) / (F.lit(1.0) - dot(phi, before))
+        return F.struct(
+            F.concat(F.zip_with(phi, F.reverse(phi), lambda x, y: x - new * y), F.array(new)).alias("phi"),
+            F.concat(acc["found"], F.array(new)).alias("found"),
+        )
+
+    nothing = F.array().cast("array<double>")
+    found = F.aggregate(
+        F.when(F.col("last") > 0, F.sequence(F.lit(1), F.col("last"))).otherwise(F.array().cast("array<int>")),
+        F.struct(nothing.alias("phi"), nothing.alias("found")), step, lambda acc: F.concat(F.array(F.element_at("rs", 1)), acc["found"]),
+    )
+    return (
+        series.select(rs.alias("rs"), "band", last.alias("last")).select("band", F.posexplode(found).alias("lag", "r"))
+        .select("lag", "r", F.when(F.col("lag") == 0, 0.0).otherwise(F.col("band")).alias("band"))
+    )

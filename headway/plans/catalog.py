@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from headway.functions.calendar import calendar_columns, is_month_end
 from headway.functions.parsing import epoch_seconds
-from headway.operators import categories, charts, cleaning, evaluation, explanation, gram, modeling, ordering, preparation, timeseries
+from headway.operators import categories, charts, cleaning, evaluation, explanation, gram, modeling, ordering, preparation, selection, timeseries
 from headway.plans import trip_arrival
 from headway.schema import CALENDAR, ENSEMBLE
 from headway.session import use_utc
@@ -463,6 +463,18 @@ def qq_points(spark, sf):
     return points.select("event_id", _round("residual").alias("residual"), F.col("rn").cast("bigint").alias("rn"), _round("x").alias("x"))
 
 
+def qq_thin(spark, sf):
+    """A thousand order statistics of the residuals, found without sorting them."""
+    points = charts.qq_thin(_predicted(spark, sf), "value", "p_type")
+    return points.select(_round("residual").alias("residual"), "rn", _round("x").alias("x"))
+
+
+def scatter_sample(spark, sf):
+    """A thousand rows by the hash of their key: actual, predicted and residual."""
+    rows = selection.sample_rows(_predicted(spark, sf), "event_id", 1000)
+    return charts.residual_points(rows, "value", "prediction").select(*[_round(c).alias(c) for c in ("actual", "predicted", "residual")])
+
+
 def qq_line(spark, sf):
     points = charts.qq_points(_predicted(spark, sf), "value", "p_type", "event_id")
     return charts.qq_line(points).select(*[_round(c, 5).alias(c) for c in ("slope", "intercept", "r")])
@@ -486,6 +498,13 @@ def dependence_points(spark, sf):
     return explanation.dependence_points(items, ITEM_FEATURES, "l_extendedprice")
 
 
+def dependence_sample(spark, sf):
+    orders = _table(spark, sf, "orders").withColumns({"month": F.month("o_orderdate"), "day": F.dayofmonth("o_orderdate")})
+    rows = selection.sample_rows(orders, "o_orderkey", 1000)
+    points = explanation.dependence_points(rows, ["month", "day"], "o_totalprice")
+    return points.select("feature", F.col("value").cast("bigint").alias("value"), "y")
+
+
 def partial_dependence(spark, sf):
     items = _table(spark, sf, "lineitem").withColumn("l_linenumber", F.col("l_linenumber").cast("double"))
     inputs = ["l_quantity", "l_linenumber"]
@@ -526,6 +545,11 @@ def error_autocorrelation(spark, sf):
     return table.select(F.col("lag").cast("bigint").alias("lag"), _round("r").alias("r"), _round("band").alias("band"))
 
 
+def error_pacf(spark, sf):
+    table = timeseries.error_partial_autocorrelation(timeseries.error_autocorrelation(_daily(spark, sf)))
+    return table.select(F.col("lag").cast("bigint").alias("lag"), _round("r").alias("r"), _round("band").alias("band"))
+
+
 # --- trees -------------------------------------------------------------------
 
 def _event_training(spark, sf):
@@ -621,6 +645,24 @@ def sink_roundtrip(spark, sf):
     )
 
 
+def malformed_report(spark, sf):
+    """Orders written as lines, some with a field too few or too many: the rows, and the lines handed back."""
+    path = writing.scratch_folder(spark, "lines")
+    key, price = F.col("o_orderkey").cast("string"), F.col("o_totalprice").cast("string")
+    line = F.when(F.col("o_orderstatus") == "F", F.concat_ws(",", key, "o_orderstatus")).when(
+        F.col("o_orderpriority") == "1-URGENT", F.concat_ws(",", key, "o_orderstatus", price, F.lit("more"))
+    ).otherwise(F.concat_ws(",", key, "o_orderstatus", price))
+    _table(spark, sf, "orders").select(line.alias("value")).write.text(path)
+    parsed = reading.parse_trips_csv(spark, path, ["key", "status", "price"], header=False)
+    rows = parsed.rows.select(F.lit("row").alias("kind"), F.lit(3).alias("fields"), F.col("key").cast("bigint").alias("key"))
+    rejects = parsed.rejects.select(
+        F.lit("reject").alias("kind"), F.size(F.split("line", ",")).alias("fields"), F.substring_index("line", ",", 1).cast("bigint").alias("key")
+    )
+    return rows.unionByName(rejects).groupBy("kind", F.col("fields").cast("bigint").alias("fields")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("key").alias("first"), F.max("key").alias("last")
+    ).withColumn("counted", F.when(F.col("kind") == "row", F.lit(parsed.n_rows)).otherwise(F.lit(parsed.n_rejects)).cast("bigint"))
+
+
 def evaluation_sink(spark, sf):
     path = writing.scratch_folder(spark, "evaluation-csv")
     writing.write_evaluation(_evaluated(spark, sf), path)
@@ -706,12 +748,16 @@ QUERIES: dict[str, Query] = {
     "residual_bins": residual_bins,
     "qq_points": qq_points,
     "qq_line": qq_line,
+    "qq_thin": qq_thin,
+    "scatter_sample": scatter_sample,
+    "dependence_sample": dependence_sample,
     "correlation_matrix": correlation_matrix,
     "dependence_lines": dependence_lines,
     "dependence_points": dependence_points,
     "partial_dependence": partial_dependence,
     "daily_errors": daily_errors,
     "error_autocorrelation": error_autocorrelation,
+    "error_pacf": error_pacf,
     "rf_50": _trees(modeling.forest(**modeling.FORESTS["RandomForest_50"])),
     "rf_100": _trees(modeling.forest(**modeling.FORESTS["RandomForest_100"])),
     "rf_200": _trees(modeling.forest(**modeling.FORESTS["RandomForest_200"])),
@@ -727,6 +773,7 @@ QUERIES: dict[str, Query] = {
     "gain_importance_stumps": gain_importance_stumps,
     "model_timing": model_timing,
     "sink_roundtrip": sink_roundtrip,
+    "malformed_report": malformed_report,
     "evaluation_sink": evaluation_sink,
     "model_roundtrip": model_roundtrip,
     "trip_evaluation": trip_evaluation,

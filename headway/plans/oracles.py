@@ -337,6 +337,16 @@ daily AS (
   FROM orders JOIN means USING (o_orderpriority) GROUP BY 1)
 """
 
+CORRELATED = """
+series AS (
+  SELECT row_number() OVER (ORDER BY day) AS t, error - avg(error) OVER () AS x FROM daily WHERE error IS NOT NULL),
+base AS (SELECT sum(x * x) AS s0, count(*) AS n FROM series),
+lags AS (SELECT unnest(range(31)) AS lag),
+cor AS (
+  SELECT lag, sum(a.x * b.x) / any_value(s0) AS r, any_value(n) AS n
+  FROM lags CROSS JOIN base JOIN series a ON true JOIN series b ON b.t = a.t + lag GROUP BY lag)
+"""
+
 ITEM_NUMBERS = ("l_quantity", "l_discount", "l_tax", "l_linenumber", "l_extendedprice")
 ITEM_FEATURES = ITEM_NUMBERS[:4]
 
@@ -552,6 +562,23 @@ WITH {QUANTILES} SELECT event_id, {_r("residual")} AS residual, rn, {_r("x")} AS
     "qq_line": f"""
 WITH {QUANTILES} SELECT {_r("regr_slope(residual, x)", 5)} AS slope, {_r("regr_intercept(residual, x)", 5)} AS intercept,
        {_r("corr(residual, x)", 5)} AS r FROM quantiles
+""",
+    "qq_thin": f"""
+WITH {QUANTILES},
+ranks AS (
+  SELECT CASE WHEN n <= 1000 THEN i + 1 ELSE 1 + i * (n - 1) // 999 END AS rn
+  FROM (SELECT max(rn) AS n FROM quantiles), (SELECT unnest(range(1000)) AS i) WHERE i < n)
+SELECT {_r("residual")} AS residual, rn, {_r("x")} AS x FROM quantiles JOIN ranks USING (rn)
+""",
+    "scatter_sample": f"""
+WITH {PREDICTED}
+SELECT {_r("value")} AS actual, {_r("prediction")} AS predicted, {_r("prediction - value")} AS residual
+FROM predicted ORDER BY md5('42:' || event_id), event_id LIMIT 1000
+""",
+    "dependence_sample": """
+WITH sampled AS (SELECT * FROM orders ORDER BY md5('42:' || o_orderkey), o_orderkey LIMIT 1000)
+SELECT 'month' AS feature, CAST(month(o_orderdate) AS BIGINT) AS value, o_totalprice AS y FROM sampled
+UNION ALL SELECT 'day', CAST(day(o_orderdate) AS BIGINT), o_totalprice FROM sampled
 """,
     "correlation_matrix": "\nUNION ALL ".join(
         f"SELECT '{a}' AS f1, '{b}' AS f2, {_r(f'corr({a}, {b})')} AS corr FROM lineitem"
@@ -585,17 +612,35 @@ FROM days LEFT JOIN daily USING (day)
 """,
     "error_autocorrelation": f"""
 WITH {DAILY},
-series AS (
-  SELECT row_number() OVER (ORDER BY day) AS t, error - avg(error) OVER () AS x FROM daily WHERE error IS NOT NULL),
-base AS (SELECT sum(x * x) AS s0, count(*) AS n FROM series),
-lags AS (SELECT unnest(range(31)) AS lag),
-cor AS (
-  SELECT lag, sum(a.x * b.x) / any_value(s0) AS r, any_value(n) AS n
-  FROM lags CROSS JOIN base JOIN series a ON true JOIN series b ON b.t = a.t + lag GROUP BY lag)
+{CORRELATED}
 SELECT lag, {_r("r")} AS r,
        CASE WHEN lag = 0 THEN 0.0::DOUBLE ELSE {_r('''1.959963984540054::DOUBLE * sqrt((1 + 2 * coalesce(
          (SELECT sum(p.r * p.r) FROM cor p WHERE p.lag BETWEEN 1 AND cor.lag - 1), 0)) / n)''')} END AS band
 FROM cor
+""",
+    # The Durbin-Levinson recursion over lists: phi of k + 1 from phi of k.
+    "error_pacf": f"""
+WITH RECURSIVE {DAILY},
+{CORRELATED},
+known AS (SELECT list(r ORDER BY lag) AS rs, any_value(n) AS n, least(count(*) - 1, CAST(ceil(any_value(n) / 2.0) AS BIGINT) - 1) AS last FROM cor),
+steps AS (
+  SELECT 1 AS k, [rs[2]] AS phi, rs[2] AS new FROM known
+  UNION ALL
+  SELECT k + 1, list_append(list_transform(range(1, k + 1), lambda j: phi[j] - fresh * phi[k + 1 - j]), fresh), fresh
+  FROM (
+    SELECT k, phi, (rs[k + 2] - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * rs[k + 2 - j])))
+                   / (1 - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * rs[j + 1]))) AS fresh
+    FROM steps, known WHERE k < last))
+SELECT CAST(0 AS BIGINT) AS lag, 1.0::DOUBLE AS r, 0.0::DOUBLE AS band
+UNION ALL SELECT CAST(k AS BIGINT), {_r("new")}, {_r("1.959963984540054::DOUBLE / sqrt(n)")} FROM steps, known
+""",
+    "malformed_report": """
+WITH lines AS (
+  SELECT o_orderkey AS key, CASE WHEN o_orderstatus = 'F' THEN 2 WHEN o_orderpriority = '1-URGENT' THEN 4 ELSE 3 END AS fields FROM orders)
+SELECT CASE WHEN fields = 3 THEN 'row' ELSE 'reject' END AS kind, CAST(fields AS BIGINT) AS fields, count(*) AS n,
+       min(key) AS "first", max(key) AS "last",
+       (SELECT count(*) FROM lines other WHERE (other.fields = 3) = (lines.fields = 3)) AS counted
+FROM lines GROUP BY fields
 """,
     "sink_roundtrip": f"WITH {PREDICTED} SELECT event_id, value, {_r('p_type')} AS prediction FROM predicted",
     "evaluation_sink": f"WITH {EVALUATED} SELECT {TABLE_COLUMNS} FROM evaluated",

@@ -16,7 +16,7 @@ from pyspark.ml import Model, PipelineModel
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from headway.functions.calendar import calendar_columns
-from headway.operators import categories, charts, cleaning, evaluation, explanation, modeling, ordering, preparation, timeseries
+from headway.operators import categories, charts, cleaning, evaluation, explanation, modeling, ordering, preparation, selection, timeseries
 from headway.schema import ENSEMBLE, FEATURES, LABEL, NUMERIC, REQUIRED, TIME
 from headway.session import use_utc
 from headway.sources import writing
@@ -55,6 +55,8 @@ class RunConfig:
     fit_on: str = "train"       # or "all": statistics over every row
     select_on: str = "test"     # or "val": split that ranks the models
     dependence_on: str = "prediction"   # or "label"
+    sample: int = 1000   # points of a scatter chart; the full tables are there as well
+    time_limit: float | None = modeling.TIME_LIMIT   # seconds that a model may take
     specs: Sequence[modeling.ModelSpec] = field(default_factory=modeling.default_specs)
 
 
@@ -196,7 +198,7 @@ def run(spark: SparkSession, raw: DataFrame, config: RunConfig = RunConfig()) ->
     def part(name: str) -> DataFrame:
         return prepared.part(scaled, name).select("scaledFeatures", config.label)
 
-    runs = modeling.train_all(config.specs, modeling.TrainingData(part("train"), part("val"), config.label, parts=config.parts))
+    runs = modeling.train_all(config.specs, modeling.TrainingData(part("train"), part("val"), config.label, parts=config.parts), config.time_limit)
     names = [r.name for r in runs if r.status == "ok"]
     seconds = {r.name: r.seconds for r in runs}
 
@@ -266,9 +268,12 @@ def chart_tables(spark: SparkSession, result: RunResult, config: RunConfig, name
         evaluation.with_error(chosen, config.label, "prediction"), "prediction", "error"
     )
     tables["qq_points"] = charts.qq_points(chosen, config.label, "prediction", ROW_ID)
+    tables["qq_thin"] = charts.qq_thin(chosen, config.label, "prediction")
+    tables["residual_sample"] = charts.residual_points(selection.sample_rows(chosen, ROW_ID, config.sample), config.label, "prediction")
     tables["qq_line"] = charts.qq_line(tables["qq_points"])
     tables["daily_errors"] = timeseries.daily_errors(chosen, config.time, config.label, "prediction")
     tables["error_autocorrelation"] = timeseries.error_autocorrelation(tables["daily_errors"])
+    tables["error_partial_autocorrelation"] = timeseries.error_partial_autocorrelation(tables["error_autocorrelation"])
 
     # The best single model is explained, also where the ensemble is ahead of it.
     single = result.best if result.best != ENSEMBLE else result.members[0]
@@ -284,6 +289,7 @@ def chart_tables(spark: SparkSession, result: RunResult, config: RunConfig, name
     explained = test.withColumn("prediction", F.col(f"`{single_column}`"))
     tables["importance"] = importance
     tables["dependence_points"] = explanation.dependence_points(explained, top[:5], y)
+    tables["dependence_sample"] = explanation.dependence_points(selection.sample_rows(explained, ROW_ID, config.sample), top[:5], y)
     tables["dependence_lines"] = explanation.dependence_lines(explained, top[:5], y)
     tables["correlation"] = explanation.correlation_matrix(explained, top)
     tables["partial_dependence"] = explanation.partial_dependence(

@@ -137,6 +137,23 @@ def test_forest_importances_and_failure_isolation(spark, data):
     assert table["broken"]["status"] == "failed" and all(r["seconds"] >= 0 for r in table.values())
 
 
+def test_a_model_beyond_its_time_is_given_up(spark, data):
+    """Its jobs are cancelled, also those that it starts later; other models and other jobs go on."""
+    def endless(d):
+        for _ in range(3):
+            try:
+                spark.range(10**15).selectExpr("sum(id % 7)").collect()
+            except Exception:  # noqa: BLE001 - a fit that does not let go
+                pass
+        return modeling.least_squares()(d)
+
+    specs = [ModelSpec("endless", endless), ModelSpec("linear", modeling.least_squares())]
+    runs = modeling.train_all(specs, data, limit=1.0)
+    assert [r.status for r in runs] == ["timeout", "ok"]
+    assert runs[0].model is None and runs[0].seconds < 30 and "1 seconds" in runs[0].error
+    assert spark.range(10).count() == 10 and modeling.score(data.val, runs).columns[-1] == "pred_linear"
+
+
 def test_trees_do_not_depend_on_the_partitions(data):
     fits = [
         modeling.forest(numTrees=5, maxDepth=4)(TrainingData(data.train.repartition(n), data.val, data.label)) for n in (1, 7)

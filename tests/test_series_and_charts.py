@@ -95,3 +95,34 @@ def test_quantile_points(scored):
     slope, intercept = np.polyfit([r["x"] for r in points], residual, 1)
     assert (line["slope"], line["intercept"]) == pytest.approx((slope, intercept))
     assert charts.qq_points(scored.limit(0), "y", "p", "id").count() == 0
+
+
+def _pacf(rs):
+    """Partial autocorrelations by solving the Yule-Walker equations of every order."""
+    out = [1.0]
+    for k in range(1, len(rs)):
+        matrix = np.array([[rs[abs(i - j)] for j in range(k)] for i in range(k)])
+        out.append(np.linalg.solve(matrix, np.array(rs[1 : k + 1]))[-1])
+    return out
+
+
+def test_partial_autocorrelation(spark):
+    rng, e = np.random.default_rng(8), [0.0, 0.0]
+    for v in rng.normal(size=200):
+        e.append(0.6 * e[-1] - 0.3 * e[-2] + v)
+    daily = spark.createDataFrame([(i, float(v)) for i, v in enumerate(e)], "day int, error double")
+    correlated = timeseries.error_autocorrelation(daily, lags=12)
+    rs = [r["r"] for r in correlated.orderBy("lag").collect()]
+    found = timeseries.error_partial_autocorrelation(correlated).orderBy("lag").collect()
+    assert [r["lag"] for r in found] == list(range(13))
+    assert [r["r"] for r in found] == pytest.approx(_pacf(rs))
+    assert found[0]["band"] == 0 and found[5]["band"] == pytest.approx(1.959963984540054 / len(e) ** 0.5)
+
+
+@pytest.mark.parametrize("values, lags", [([], []), ([1.0], []), ([1.0, 2.0], [0]), ([1.0, 5.0, 2.0, 4.0, 0.0, 3.0], [0, 1, 2]), ([2.0] * 6, [0, 1, 2])])
+def test_partial_autocorrelation_of_short_series(spark, values, lags):
+    daily = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "day int, error double")
+    found = timeseries.error_partial_autocorrelation(timeseries.error_autocorrelation(daily)).orderBy("lag").collect()
+    assert [r["lag"] for r in found] == lags
+    if values and len(set(values)) == 1:
+        assert all(r["r"] is None for r in found)

@@ -78,8 +78,8 @@ def test_every_chart_table_has_rows(result):
     expected = {
         "rmse_by_split", "r2_by_split", "training_time", "confusion", "bin_labels", "ensemble_comparison",
         "residual_points", "actual_vs_predicted", "residual_histogram", "residual_vs_predicted", "qq_points",
-        "qq_line", "daily_errors", "error_autocorrelation", "importance", "dependence_points",
-        "dependence_lines", "correlation", "partial_dependence",
+        "qq_line", "qq_thin", "residual_sample", "daily_errors", "error_autocorrelation", "error_partial_autocorrelation",
+        "importance", "dependence_points", "dependence_sample", "dependence_lines", "correlation", "partial_dependence",
     }
     assert set(result.tables) == expected
     n_test = result.predictions.filter("split = 'test'").count()
@@ -178,6 +178,23 @@ def test_staged_tables_can_be_discarded(spark):
         writing.discard(spark, "/somewhere/else")
 
 
+def test_malformed_lines_are_handed_back(spark, tmp_path):
+    """The same rows as when they are skipped; quoted separators and empty fields are no mistake."""
+    lines = ["a,b,c", "1,2,3", "4,5", '"x,y",,z', "6,7,8,9", "", "only", ",,"]
+    (tmp_path / "in.csv").write_text("\n".join(lines) + "\n")
+    parsed = reading.parse_trips_csv(spark, str(tmp_path / "in.csv"), ["a", "b", "c"])
+    assert sorted(r["line"] for r in parsed.rejects.collect()) == ["4,5", "6,7,8,9", "only"]
+    rows = sorted(map(repr, map(tuple, parsed.rows.collect())))
+    assert rows == sorted(map(repr, map(tuple, reading.read_trips_csv(spark, str(tmp_path / "in.csv"), ["a", "b", "c"]).collect())))
+    assert (parsed.n_rows, parsed.n_rejects) == (3, 3)
+
+
+def test_parsing_a_file_without_lines(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("a,b\n")
+    parsed = reading.parse_trips_csv(spark, str(tmp_path / "in.csv"), ["a", "b"])
+    assert parsed.rows.collect() == parsed.rejects.collect() == [] and (parsed.n_rows, parsed.n_rejects) == (0, 0)
+
+
 def test_table_times_without_zone_become_timestamps(spark, tmp_path):
     spark.sql("SELECT TIMESTAMP_NTZ '2024-01-02 03:04:05' AS t").write.parquet(str(tmp_path / "times.parquet"))
     df = reading.read_table(spark, str(tmp_path), "times")
