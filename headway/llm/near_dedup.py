@@ -123,7 +123,7 @@ def least_agreement(percent: int) -> float:
 def _sign(words: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
+            ids, marks, texts = batch.column("doc_id"), batch.column("mark"), batch.column("text").to_pylist()
             at = 0
             while at < len(texts):
                 end, size = at, 0
@@ -143,10 +143,10 @@ def _sign(words: int):
                         found[3][i] = keys
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids.slice(at, end - at), pa.array([len(s) for s in sets], pa.int64()), pa.array(found[0], pa.int64()),
+                        ids.slice(at, end - at), marks.slice(at, end - at), pa.array([len(s) for s in sets], pa.int64()), pa.array(found[0], pa.int64()),
                         pa.array(found[1], pa.int64()), pa.array(found[2], pa.binary()), pa.array(found[3], pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n_shingles", "k1", "k2", "sig", "bands"],
+                    names=["doc_id", "mark", "n_shingles", "k1", "k2", "sig", "bands"],
                 )
                 at = end
 
@@ -218,7 +218,7 @@ def _cells(percent: int):
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def settle(table: pa.Table, edges: list[int]) -> pa.RecordBatch:
-            ids, comps = (table.column(c).to_numpy() for c in ("doc_id", "comp"))
+            ids, comps = (table.column(c).to_numpy() for c in ("node", "comp"))
             left = np.array(table.column("left").to_pylist(), bool)
             sets = table.column("shingles").to_pylist()
             sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, MINIMA)
@@ -254,61 +254,73 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     intersection >= ``percent`` * union. component_id is the smallest id that links
     lead to, itself included. Rows with a null id are linked with nothing, have no
     component and are kept; rows with the same id count as one document with all
-    their links. Extra columns are not read; an empty table gives no rows.
+    their links, whatever their texts, and each comes back. Extra columns are not read; an empty table gives no rows.
     """
     rows_in = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    base = stage(
-        rows_in.mapInArrow(
-            _sign(words), "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, sig binary, bands array<bigint>"
-        ),
-        "near-signed",
+    signed = rows_in.withColumn("mark", F.xxhash64("text")).mapInArrow(
+        _sign(words), "doc_id bigint, mark bigint, n_shingles bigint, k1 bigint, k2 bigint, sig binary, bands array<bigint>"
     )
+    base = stage(signed.withColumn("row", F.monotonically_increasing_id()), "near-signed")  # numbered for good once it is written
 
-    # Equal sets are one class, named by its smallest id.
+    # Equal sets are one class, a node that is named by its first row.
     known = base.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = stage(
-        known.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"),
+        known.groupBy("k1", "k2").agg(F.min("row").alias("rep"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"),
         "near-classes",
     )
-    member = stage(known.select("doc_id", "k1", "k2").join(classes, ["k1", "k2"]).select("doc_id", "rep").distinct(), "near-members")
-    others = member.filter("doc_id <> rep").select("doc_id")
-    single = stage(known.select("doc_id", "sig", "bands").join(others, "doc_id", "left_anti"), "near-singles")
+    member = stage(known.select("row", "k1", "k2").join(classes, ["k1", "k2"]).select("row", "rep"), "near-members")
+    others = member.filter("row <> rep").select("row")
+    single = stage(
+        known.select(F.col("row").alias("node"), "doc_id", "mark", "sig", "bands").join(others.withColumnRenamed("row", "node"), "node", "left_anti"),
+        "near-singles",
+    )
+    # Rows of one id are one document: links between the nodes of its rows.
+    again = base.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n"))
+    repeated = base.select("row", "doc_id").join(again.filter("n > 1").drop("n"), "doc_id").select("row", "first")
+    rep = member.withColumnRenamed("rep", "node")
+    same = stage(
+        repeated.join(rep, "row", "left").select(F.coalesce("node", "row").alias("a"), "first")
+        .join(rep.withColumnRenamed("row", "first"), "first", "left").select("a", F.coalesce("node", "first").alias("b")),
+        "near-ids",
+    )
 
     # Buckets with more than one class, and their rows.
-    spread = single.select("doc_id", F.explode("bands").alias("bucket"))
+    spread = single.select("node", F.explode("bands").alias("bucket"))
     centres = stage(
-        spread.groupBy("bucket").agg(F.min("doc_id").alias("centre"), F.max("doc_id").alias("last"))
+        spread.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("last"))
         .filter("centre < last").drop("last"),
         "near-buckets",
     )
     met = stage(spread.join(centres, "bucket"), "near-met")
-    wanted = met.select("doc_id").distinct()
-    sig = stage(single.select("doc_id", "sig").join(wanted, "doc_id", "left_semi"), "near-sigs")
+    wanted = met.select("node").distinct()
+    sig = stage(single.select("node", "doc_id", "mark", "sig").join(wanted, "node", "left_semi"), "near-sigs")
+    # A node's text is one of its first row's id and mark; repeated rows give the same set.
+    texts = rows_in.withColumn("mark", F.xxhash64("text")).join(sig.select("node", "doc_id", "mark"), ["doc_id", "mark"])
     sets = stage(
-        rows_in.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(words), "doc_id bigint, shingles binary"), "near-sets"
+        texts.select("node", "text").mapInArrow(_sets(words), "node bigint, shingles binary").dropDuplicates(["node"]), "near-sets"
     )
 
     # Round 1: each text and the centre of its buckets that agrees best.
-    pairs = met.filter("doc_id <> centre").select(F.col("doc_id").alias("a"), F.col("centre").alias("b")).distinct()
+    pairs = met.filter("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
     agreed = (
-        pairs.join(sig.select(F.col("doc_id").alias("a"), F.col("sig").alias("sig_a")), "a")
-        .join(sig.select(F.col("doc_id").alias("b"), F.col("sig").alias("sig_b")), "b")
+        pairs.join(sig.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a")
+        .join(sig.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b")
         .mapInArrow(_agreement, "a bigint, b bigint, equal int")
         .filter(F.col("equal") >= F.lit(float(least_agreement(percent))))
         .groupBy("a").agg(F.max_by("b", F.struct("equal", -F.col("b"))).alias("b"))
     )
     linked = stage(
-        stage(agreed, "near-best").join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a")
-        .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b")
+        stage(agreed, "near-best").join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a")
+        .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b")
         .mapInArrow(_confirmed(percent), "a bigint, b bigint"),
         "near-links",
     )
+    linked = linked.unionByName(same)
     first = stage(connected_components(linked), "near-first")
 
     # Round 2: pairs of different components in a bucket.
     held = stage(
-        met.select("bucket", F.col("doc_id").alias("node")).join(first, "node", "left")
-        .select("bucket", F.col("node").alias("doc_id"), F.coalesce("component", "node").alias("comp")),
+        met.select("bucket", "node").join(first, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("comp")),
         "near-held",
     )
     parts = held.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
@@ -322,28 +334,32 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
         "near-open",
     )
     undecided = held.join(open_buckets, "bucket")
-    block = lambda salt, n: F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.col(n)).cast("int")
+    block = lambda salt, n: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n)).cast("int")
     cells = undecided.filter(F.col("comp") != F.col("main")).select(
-        "bucket", "doc_id", "comp", F.lit(True).alias("left"), block(1, "lefts").alias("row"),
+        "bucket", "node", "comp", F.lit(True).alias("left"), block(1, "lefts").alias("row"),
         F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("column"),
     ).unionByName(undecided.select(
-        "bucket", "doc_id", "comp", F.lit(False).alias("left"),
+        "bucket", "node", "comp", F.lit(False).alias("left"),
         F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("row"), block(2, "rights").alias("column"),
     ))
     more = stage(
-        cells.join(stage(sets.join(sig, "doc_id"), "near-full"), "doc_id")
-        .repartition(*_CELL).sortWithinPartitions(*_CELL).select(*_CELL, "doc_id", "comp", "left", "sig", "shingles")
+        cells.join(stage(sets.join(sig.select("node", "sig"), "node"), "near-full"), "node")
+        .repartition(*_CELL).sortWithinPartitions(*_CELL).select(*_CELL, "node", "comp", "left", "sig", "shingles")
         .mapInArrow(_cells(percent), "a bigint, b bigint"),
         "near-more",
     )
     joined = stage(connected_components(linked.unionByName(more)), "near-components")
 
-    placed = member.select("doc_id", "rep").filter("doc_id <> rep")
+    placed = stage(
+        base.select("row", "doc_id", "n_shingles").join(member, "row", "left").withColumn("node", F.coalesce("rep", "row"))
+        .join(joined, "node", "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component")),
+        "near-placed",
+    )
+    linked_rows = placed.filter(F.col("component").isNotNull())
+    least = linked_rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return (
-        base.select("doc_id", "n_shingles").join(placed, "doc_id", "left")
-        .withColumn("node", F.coalesce("rep", "doc_id"))
-        .join(joined, "node", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id"))
+        linked_rows.join(least, "component").select("doc_id", "n_shingles", "component_id")
+        .unionByName(placed.filter(F.col("component").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
 
@@ -352,6 +368,6 @@ def _sets(words: int):
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(t, words).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], names=["doc_id", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], names=["node", "shingles"])
 
     return compute

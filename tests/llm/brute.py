@@ -36,6 +36,18 @@ def components(nodes, links) -> dict[int, int]:
     return {n: root(n) for n in nodes}
 
 
+def near_rows(rows, words: int, percent: int) -> list[tuple]:
+    """(doc_id, size of the set, component) of every row, rows of one id being one document."""
+    sets = [shingle_set(t, words) for _, t in rows]
+    links = [(a, b) for a in range(len(rows)) for b in range(a) if None not in (rows[a][0], rows[b][0]) and (
+        rows[a][0] == rows[b][0] or sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]))]
+    found = components(range(len(rows)), links)
+    least = {}
+    for (i, _), c in zip(rows, (found[k] for k in range(len(rows)))):
+        least[c] = i if i is None else min(i, least.get(c, i))
+    return [(i, len(s), least[found[k]]) for k, ((i, _), s) in enumerate(zip(rows, sets))]
+
+
 def near_duplicates(rows, words: int, percent: int) -> dict[int, tuple[int, int]]:
     """doc_id -> (size of the set, component) by comparing all pairs that share a shingle."""
     sets = {i: shingle_set(t, words) for i, t in rows}

@@ -132,6 +132,19 @@ def test_near_duplicates_awkward(docs, empty):
     assert near_dedup.near_duplicates(empty).collect() == []
 
 
+def test_ids_with_several_texts(spark, docs):
+    """Links of a text that is a copy elsewhere are not lost, rows are not multiplied, ids hold their rows together."""
+    a, c, d = prose(11, 100), prose(12, 80), prose(13, 80)
+    for rows in (
+        [(1, a), (1, prose(14, 90)), (0, prose(14, 90)), (5, a + " end")],
+        [(10, c), (10, d), (8, c), (9, d)],
+        [(4, ""), (4, a), (3, None), (2, a), (None, a), (2, a), (7, a + " x"), (7, "")],
+        [(r[0], r[1]) for r in awkward() if len(r[1] or "") < 5000],
+    ):
+        got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), 4, 80).collect()
+        assert sorted(map(repr, ((r[0], r[1], r[2]) for r in got))) == sorted(map(repr, brute.near_rows(rows, 4, 80)))
+
+
 def test_components(spark):
     rng = np.random.default_rng(3)
     links = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(1000, 1064)] + [(2000, i) for i in range(2001, 2100)]

@@ -27,6 +27,20 @@ def test_pipeline(spark, tmp_path):
     assert {r["doc_id"] for r in kept["packing"]} <= set(rests)
 
 
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def test_one_row_of_each_group_of_copies_stays(spark):
+    """Repeated rows, copies with a null id, ids with two texts: no text goes with all its copies."""
+    one, two, three = (" ".join(f"w{k}x{i}" for i in range(80)) for k in range(3))
+    rows = [(3, one), (3, one), (None, one), (5, one + " end"), (None, two), (None, two), (4, two + " z"), (6, three), (6, one), (7, ""), (7, ""), (8, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], DOCS).repartition(3)
+    kept = corpus_pipeline.drop_near_copies(spark, docs, SF)
+    assert sorted(map(repr, ((r[0], r[1]) for r in kept.collect()))) == sorted(map(repr, [(3, one), (4, two + " z"), (6, three), (7, ""), (7, ""), (8, None)]))
+    cut = corpus_pipeline.drop_repeated_passages(spark, kept, SF)
+    assert {r["text"] or "" for r in cut.collect()} == {one, two + " z", three, ""}
+
+
 def test_run(spark):
     pieces = corpus_pipeline.run(spark, SF).collect()
     assert len({(p["sequence_id"], p["offset"]) for p in pieces}) == len(pieces)
