@@ -15,7 +15,6 @@ from headway.llm.substring_dedup import free_name
 from headway.sources.writing import stage
 
 LEAST_SCORE = 0.3
-SENT_IDS = 2_000_000  # ids of dropped copies that are sent to every executor (16 MB); more are joined
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,11 +29,18 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five-word shingles, 0.8 or more alike."""
-    judged = near_dedup.near_duplicates(docs, words=5, percent=80)
-    dropped = stage(judged.filter(~F.col("kept")).select("doc_id").distinct(), "dropped-copies")
-    few = dropped.count() <= SENT_IDS
-    return docs.join(F.broadcast(dropped) if few else dropped, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near copies stays: five-word shingles, 0.8 or more alike.
+
+    Rows are compared, not ids: of repeated rows and of copies with a null or the same
+    id one stays too, the one of the smallest id. Texts without words stay all.
+    """
+    row = free_name(docs, "row")
+    rows = stage(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-rows")  # numbered for good once it is written
+    judged = near_dedup.near_duplicates(rows, words=5, percent=80, id_col=row)
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(row).alias("at"))  # a null id comes last
+    ranked = rows.select(F.col(row).alias("doc_id"), order.alias("order")).join(judged, "doc_id")
+    kept = ranked.groupBy("component_id").agg(F.min("order").alias("order"))
+    return rows.join(kept.select(F.col("order.at").alias(row)), row, "left_semi").select(*docs.columns)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
