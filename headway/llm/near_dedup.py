@@ -29,6 +29,7 @@ ROWS, BANDS = 5, 36
 MINIMA = ROWS * BANDS
 SPREADS = 5.0  # standard deviations that a signature may fall short of the threshold
 LEFT, RIGHT = 256, 1024  # texts of the two sides of a cell
+SENT_NODES = 1_000_000  # texts asked for by keys that every executor gets (24 MB); more are joined by shuffle
 _BATCH = 1 << 20  # bytes of text hashed at once, beyond the first text
 
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -275,8 +276,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
         "near-singles",
     )
     # Rows of one id are one document: links between the nodes of its rows.
-    again = base.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n"))
-    repeated = base.select("row", "doc_id").join(again.filter("n > 1").drop("n"), "doc_id").select("row", "first")
+    again = stage(
+        base.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n"))
+        .filter("n > 1").drop("n"),
+        "near-again",
+    )
+    repeated = base.select("row", "doc_id").join(again, "doc_id").select("row", "first")
     rep = member.withColumnRenamed("rep", "node")
     same = stage(
         repeated.join(rep, "row", "left").select(F.coalesce("node", "row").alias("a"), "first")
@@ -293,12 +298,20 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     )
     met = stage(spread.join(centres, "bucket"), "near-met")
     wanted = met.select("node").distinct()
-    sig = stage(single.select("node", "doc_id", "mark", "sig").join(wanted, "node", "left_semi"), "near-sigs")
-    # A node's text is one of its first row's id and mark; repeated rows give the same set.
-    texts = rows_in.withColumn("mark", F.xxhash64("text")).join(sig.select("node", "doc_id", "mark"), ["doc_id", "mark"])
-    sets = stage(
-        texts.select("node", "text").mapInArrow(_sets(words), "node bigint, shingles binary").dropDuplicates(["node"]), "near-sets"
+    sig = stage(
+        single.select("node", "doc_id", "mark", "sig").join(wanted, "node", "left_semi")
+        .join(again.select("doc_id", F.lit(True).alias("several")), "doc_id", "left"),
+        "near-sigs",
+    )
+    # A node's text is one of its first row's id and mark. Rows that are repeated give their set again.
+    asked = sig.select("node", "doc_id", "mark", F.coalesce("several", F.lit(False)).alias("several"))
+    few = asked.count() <= SENT_NODES
+    texts = rows_in.withColumn("mark", F.xxhash64("text")).join(F.broadcast(asked) if few else asked, ["doc_id", "mark"])
+    made = stage(
+        texts.select("node", "several", "text").mapInArrow(_sets(words), "node bigint, several boolean, shingles binary"), "near-made"
     )
+    sets = made.filter(~F.col("several")).drop("several")
+    sets = stage(sets.unionByName(made.filter("several").drop("several").dropDuplicates(["node"])), "near-sets") if not again.isEmpty() else sets
 
     # Round 1: each text and the centre of its buckets that agrees best.
     pairs = met.filter("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
@@ -368,6 +381,8 @@ def _sets(words: int):
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(t, words).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], names=["node", "shingles"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), batch.column("several"), pa.array(sets, pa.binary())], names=["node", "several", "shingles"]
+            )
 
     return compute

@@ -132,8 +132,10 @@ def test_near_duplicates_awkward(docs, empty):
     assert near_dedup.near_duplicates(empty).collect() == []
 
 
-def test_ids_with_several_texts(spark, docs):
+@pytest.mark.parametrize("sent", [0, 1_000_000])
+def test_ids_with_several_texts(spark, monkeypatch, sent):
     """Links of a text that is a copy elsewhere are not lost, rows are not multiplied, ids hold their rows together."""
+    monkeypatch.setattr(near_dedup, "SENT_NODES", sent)
     a, c, d = prose(11, 100), prose(12, 80), prose(13, 80)
     for rows in (
         [(1, a), (1, prose(14, 90)), (0, prose(14, 90)), (5, a + " end")],
