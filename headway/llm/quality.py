@@ -18,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from headway.sources.writing import stage
+
 FEATURES = 4096
 LATENT = 64
 SAMPLE = 1500  # labelled texts of each label that the model is fitted on, at most
@@ -105,9 +107,11 @@ def held_out(id_col: str = "doc_id"):
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Fit on labelled texts that are not held out, up to SAMPLE of each label.
 
-    Which ones is decided by a hash of the text; a repeated text counts once.
-    Labels that are null or neither 0 nor 1 are left out; of several labels for an
-    id the mean decides. Only features of the sample reach the driver.
+    Which ones is decided by a hash of the text; a repeated text counts once, with the
+    label of its smallest id. Labels that are null or neither 0 nor 1 are left out; of
+    several labels for an id the mean decides. Ids, labels and hashes are staged first,
+    then the chosen texts are fetched: only features of the sample reach the driver,
+    one row for each of at most 2 * SAMPLE texts.
     """
     known = (
         labels.select(F.col(id_col).alias("id"), F.col(label).cast("double").alias("label"))
@@ -117,21 +121,23 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str
     texts = (
         docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
         .filter(F.col("id").isNotNull() & F.col("text").isNotNull() & ~held_out("id"))
-        .join(known, "id")
         .withColumn("place", F.pmod(F.xxhash64("text"), F.lit(1 << 40)))
     )
-    sizes = {r[0]: r[1] for r in texts.groupBy("label").count().collect()}
-    found: dict[int, tuple[int, np.ndarray]] = {}
-    for value, n in sizes.items():
+    places = stage(
+        texts.select("id", "place").join(known, "id").groupBy("place").agg(F.min(F.struct("id", "label")).alias("one"))
+        .select("place", "one.id", "one.label"),
+        "quality-places",
+    )
+    chosen = []
+    for value, n in sorted((r[0], r[1]) for r in places.groupBy("label").count().collect()):
         # Somewhat more than is wanted, by the hash; then the first SAMPLE of them.
-        some = texts.filter((F.col("label") == value) & (F.col("place") < F.lit(int((1 << 40) * min(1.0, 1.3 * SAMPLE / n)))))
-        for row in some.select("place", "text").mapInArrow(_counted, "place bigint, counts binary").collect():
-            found[row["place"]] = (value, np.frombuffer(row["counts"], "<u2"))
-    chosen = [
-        (place, value) for v in (0, 1) for place, value in sorted((p, x[0]) for p, x in found.items() if x[0] == v)[:SAMPLE]
-    ]
-    counts = np.array([found[p][1] for p, _ in chosen], np.uint16).reshape(-1, FEATURES + 1)
-    return fit_arrays(counts, np.array([v for _, v in chosen], np.float64))
+        some = places.filter((F.col("label") == value) & (F.col("place") < F.lit(int((1 << 40) * min(1.0, 1.3 * SAMPLE / n)))))
+        chosen += [(r["id"], r["place"], value) for r in some.orderBy("place").limit(SAMPLE).collect()]
+    asked = docs.sparkSession.createDataFrame([c[:2] for c in chosen], places.select("id", "place").schema)
+    fetched = texts.join(F.broadcast(asked), ["id", "place"]).select("place", "text").dropDuplicates(["place"])
+    found = {r["place"]: np.frombuffer(r["counts"], "<u2") for r in fetched.mapInArrow(_counted, "place bigint, counts binary").collect()}
+    counts = np.array([found[p] for _, p, _ in chosen], np.uint16).reshape(-1, FEATURES + 1)
+    return fit_arrays(counts, np.array([v for *_, v in chosen], np.float64))
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
