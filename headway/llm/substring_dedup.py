@@ -22,7 +22,6 @@ documents does not meet in one task.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +37,6 @@ PIECE = 1 << 19  # windows looked at at once: a long text takes no more memory
 SORTED = 512  # different records of an anchor that are sorted in one place
 AT_ONCE = 2048  # records sorted together, beyond the last group
 
-NO_ID = -(1 << 63)
 _U = np.uint64
 _LOW = _U((1 << 20) - 1)
 
@@ -87,11 +85,10 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         parts: list[tuple] = []
         size = 0
-        for key, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
+        for key, mark, text in zip(*(batch.column(c).to_pylist() for c in ("id", "mark", "text"))):
             raw = _bytes(text)
             if len(raw) < LENGTH:
                 continue
-            mark = zlib.crc32(raw)
             for found in records(np.frombuffer(raw, np.uint8)):
                 parts.append((np.full(len(found[0]), key), np.full(len(found[0]), mark), *found))
                 size += len(found[0])
@@ -271,14 +268,15 @@ def free_name(df: DataFrame, name: str) -> str:
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple:
+    """Id, text and mark: rows of one key have one text. Without an id another hash of the text stands for it."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)), text, F.crc32(F.encode(text, "UTF-8"))
+    return F.coalesce(F.col(id_col).cast("bigint"), F.xxhash64(F.lit("text"), text)), text, F.xxhash64(text)
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, mark and the byte ranges from a to b (they may overlap) that are repeated."""
     key, text, mark = _keyed(docs, id_col, text_col)
-    texts = docs.select(key.alias("id"), text.alias("text"))
+    texts = docs.select(key.alias("id"), mark.alias("mark"), text.alias("text"))
     found_in = lambda: texts.mapInArrow(
         _records, "id bigint, mark bigint, mh bigint, rh bigint, start bigint, n bigint, off bigint"
     )
@@ -297,9 +295,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .select("one.id", "one.mark", F.struct("mh", (F.col("k") > SORTED).alias("big"), "one.start", "one.n", "one.off").alias("w"))
         .groupBy("id", "mark").agg(F.collect_list("w").alias("wanted"))
     )
-    marked = docs.select(key.alias("id"), mark.alias("mark"), text.alias("text"))
     pieces = stage(
-        marked.join(wanted, ["id", "mark"]).mapInArrow(
+        texts.join(wanted, ["id", "mark"]).mapInArrow(
             _slices, "mh bigint, big boolean, id bigint, mark bigint, start bigint, n bigint, off bigint, data binary"
         ).dropDuplicates(["mh", "id", "mark", "start"]),
         "string-pieces",
