@@ -41,7 +41,8 @@ def _samples(place: Column, log_weights: list[Column]) -> list[Column]:
         t = F.floor(log_w / r + b)
         log_a = log_c - r * (t - b + 1)
         high = F.greatest(F.lit(-(1 << 30)), F.least(F.lit((1 << 30) - 1), F.floor(log_a * F.lit(_STEP / 4))))
-        low = F.pmod(F.xxhash64("word", t), F.lit(1 << 32))
+        # The word is a hash already: t, spread by an odd number, only has to tell its samples apart.
+        low = F.col("word").bitwiseXOR(t * F.lit(0x9E3779B1)).bitwiseAND(F.lit((1 << 32) - 1))
         out.append(F.shiftleft(high, 32) + low)
     return out
 
