@@ -383,3 +383,26 @@ def test_mixing_awkward(spark, docs, empty):
     assert mixing.mix(docs, labels, queries.domain(), queries.TARGETS).count() == len(awkward())
     assert mixing.mix(docs, labels.limit(0), queries.domain(), queries.TARGETS).count() == len(awkward())
     assert mixing.mix(empty, labels, queries.domain(), queries.TARGETS).collect() == []
+
+
+def test_quality_collects_no_copies(spark, monkeypatch):
+    """Copies of a labelled text, with one id and with many, come to the driver once."""
+    monkeypatch.setattr(quality, "SAMPLE", 20)
+    rows = [(i if i % 2 else 1, "the same text in very many rows", 1) for i in range(4000)] + [(10_001 + i, prose(i, 30), i % 2) for i in range(300)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame(sorted({(r[0], r[2]) for r in rows}), "doc_id bigint, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "fit_arrays", lambda counts, found: seen.append((counts.shape, found.tolist())))
+    quality.fit(docs, labels)
+    assert seen[0][0] == (40, quality.FEATURES + 1) and sorted(seen[0][1]) == [0] * 20 + [1] * 20
+
+
+def test_substrings_of_null_ids(spark):
+    """Spans of one text do not touch another, whatever stands for their missing ids."""
+    passage = "".join(chr(97 + (i * i) % 23) for i in range(300))
+    rows = [(None, passage + prose(1, 60)), (None, prose(2, 60) + passage), (None, prose(3, 80)), (None, ""), (None, None)]
+    got = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    want = brute.remove_repeats(rows)
+    assert sorted((r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == sorted(
+        (n, removed, runs, hashlib.sha256(rest).hexdigest()) for _, n, removed, runs, rest in want
+    )
