@@ -684,19 +684,36 @@ def model_roundtrip(spark, sf):
     return errors.select("split", "n", _round("rmse", 4).alias("rmse"), _round("r2").alias("r2"))
 
 
-def trip_evaluation(spark, sf):
-    """The whole run on events with the linear models: one row per model, ensemble included."""
-    events = _table(spark, sf, "events")
+def _run(spark, sf, specs, features=CALENDAR) -> DataFrame:
+    """The whole run on events: one row per model, ensemble included; its staged tables are removed."""
     config = trip_arrival.RunConfig(
-        time="ts", label="value", numeric=("value",), required=("event_type", "value"), features=CALENDAR,
-        specs=(
-            modeling.ModelSpec("LinearRegression", modeling.least_squares()),
-            modeling.ModelSpec("Ridge", modeling.ridge()),
-            modeling.ModelSpec("Lasso", modeling.lasso()),
-            modeling.ModelSpec("ElasticNet", modeling.elastic_net()),
-        ),
+        time="ts", key=("event_id",), label="value", numeric=("value",), required=("event_type", "value"), features=features, specs=specs,
     )
-    return trip_arrival.run(spark, events, config).evaluation
+    result = trip_arrival.run(spark, _table(spark, sf, "events"), config)
+    writing.discard(spark, result.folder)
+    return result.evaluation
+
+
+def trip_evaluation(spark, sf):
+    """The linear models."""
+    return _run(spark, sf, (
+        modeling.ModelSpec("LinearRegression", modeling.least_squares()),
+        modeling.ModelSpec("Ridge", modeling.ridge()),
+        modeling.ModelSpec("Lasso", modeling.lasso()),
+        modeling.ModelSpec("ElasticNet", modeling.elastic_net()),
+    ))
+
+
+def trip_run_linear(spark, sf):
+    """Models with a closed form on two features: what the whole run makes of them can be held against SQL."""
+    specs = [modeling.ModelSpec("LinearRegression", modeling.least_squares())]
+    specs += [modeling.ModelSpec(f"Ridge_{alpha}", modeling.ridge(float(alpha))) for alpha in (100, 10_000)]
+    return _rounded_table(_run(spark, sf, specs, ("Hour", "DayOfMonth")))
+
+
+def trip_run_default(spark, sf):
+    """The job as it is by default: elastic net, four forests, boosted trees, their ensemble."""
+    return _run(spark, sf, modeling.default_specs())
 
 
 QUERIES: dict[str, Query] = {
@@ -777,4 +794,6 @@ QUERIES: dict[str, Query] = {
     "evaluation_sink": evaluation_sink,
     "model_roundtrip": model_roundtrip,
     "trip_evaluation": trip_evaluation,
+    "trip_run_linear": trip_run_linear,
+    "trip_run_default": trip_run_default,
 }

@@ -644,6 +644,31 @@ FROM lines GROUP BY fields
 """,
     "sink_roundtrip": f"WITH {PREDICTED} SELECT event_id, value, {_r('p_type')} AS prediction FROM predicted",
     "evaluation_sink": f"WITH {EVALUATED} SELECT {TABLE_COLUMNS} FROM evaluated",
+    "trip_run_linear": f"""
+WITH {EVENT_SPLIT},
+points AS (SELECT split, event_id, hour(ts)::DOUBLE AS x, day(ts)::DOUBLE AS z, value AS y FROM parted),
+m AS (
+  SELECT count(*)::DOUBLE - 1 AS k, avg(x) mx, avg(z) mz, avg(y) my, stddev_samp(x) sx, stddev_samp(z) sz, corr(x, z) AS c,
+         covar_samp(x, y) / stddev_samp(x) AS bx, covar_samp(z, y) / stddev_samp(z) AS bz
+  FROM points WHERE split = 'train'),
+models AS (
+  SELECT * FROM (VALUES ('LinearRegression', 0, 0.0::DOUBLE), ('Ridge_100', 1, 100.0::DOUBLE), ('Ridge_10000', 2, 10000.0::DOUBLE)) v("Model", pos, alpha)),
+w AS (
+  SELECT m.*, "Model", pos, k * (bx * (k + alpha) - k * c * bz) / ((k + alpha) * (k + alpha) - k * c * k * c) AS wx,
+         k * (bz * (k + alpha) - k * c * bx) / ((k + alpha) * (k + alpha) - k * c * k * c) AS wz
+  FROM m, models),
+single AS (
+  SELECT "Model", pos, event_id, split, y, my + wx * (x - mx) / sx + wz * (z - mz) / sz AS p FROM points, w),
+scored AS (
+  SELECT "Model", pos, split, y, p FROM single
+  UNION ALL SELECT 'Ensemble_Top3', 3, split, any_value(y), avg(p) FROM single GROUP BY event_id, split),
+errors AS (SELECT "Model", pos, split, {ERRORS} FROM scored GROUP BY "Model", pos, split),
+evaluated AS (
+  SELECT "Model", max(rmse) FILTER (split = 'train') AS "Train_RMSE", max(rmse) FILTER (split = 'test') AS "Test_RMSE",
+         max(rmse) FILTER (split = 'val') AS "Val_RMSE", max(r2) FILTER (split = 'test') AS "Test_R2"
+  FROM errors GROUP BY "Model", pos)
+SELECT {TABLE_COLUMNS} FROM evaluated
+""",
     "model_roundtrip": f"""
 WITH {ITEM_MOMENTS},
 w AS (

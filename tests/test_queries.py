@@ -3,10 +3,23 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from headway.operators import modeling
+from headway.plans import catalog
+from headway.schema import ENSEMBLE
 from tests.compare import connect, differences
 
 SF = "/root/testdata/sf0.001"
-LONG_FITS = {"rf_50", "rf_100", "rf_200", "rf_time", "gbt", "gbt_early_stop", "feature_importance"}
+LONG_FITS = {"rf_50", "rf_100", "rf_200", "rf_time", "gbt", "gbt_early_stop", "feature_importance", "trip_run_default"}
+# The same queries with few and small trees.
+REDUCED = {
+    "rf_50": lambda: catalog._trees(modeling.forest(numTrees=3, maxDepth=3)),
+    "rf_100": lambda: catalog._trees(modeling.forest(**modeling.FORESTS["RandomForest_100"] | SMALL)),
+    "rf_200": lambda: catalog._trees(modeling.forest(**modeling.FORESTS["RandomForest_200"] | SMALL)),
+    "rf_time": lambda: catalog._trees(modeling.forest(**modeling.FORESTS["TimeSeries_RF"] | SMALL)),
+    "gbt": lambda: catalog._trees(modeling.boosted(maxIter=3, maxDepth=3)),
+    "gbt_early_stop": lambda: catalog._trees(modeling.early_stopped(max_rounds=4, patience=2, maxDepth=3)),
+}
+SMALL = {"numTrees": 3, "maxDepth": 3}
 
 
 @pytest.fixture(scope="module")
@@ -30,3 +43,21 @@ def test_query_equals_its_sql(spark, con, name):
 @pytest.mark.parametrize("name", sorted(set(queries()) - set(oracle_sql()) - LONG_FITS))
 def test_query_without_sql_has_rows(spark, name):
     assert queries()[name](spark, SF).count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(REDUCED))
+def test_long_fit_reduced(spark, name):
+    rows = {r["split"]: r for r in REDUCED[name]()(spark, SF).collect()}
+    assert {s: r["n"] for s, r in rows.items()} == {"train": 700, "test": 200, "val": 100}
+    assert all(r["rmse"] > 0 for r in rows.values()) and rows["train"]["r2"] >= 0
+
+
+def test_default_run_reduced(spark, monkeypatch):
+    """All of its models, with few and small trees, and importances of a forest."""
+    monkeypatch.setattr(modeling, "FORESTS", {name: params | SMALL for name, params in modeling.FORESTS.items()})
+    monkeypatch.setattr(modeling, "BOOSTED", modeling.BOOSTED | {"maxIter": 3, "maxDepth": 3})
+    table = {r["Model"]: r for r in catalog.trip_run_default(spark, SF).collect()}
+    assert list(table) == [s.name for s in modeling.default_specs()] + [ENSEMBLE]
+    members = sorted(r["Training_Time"] for n, r in table.items() if n != ENSEMBLE)
+    assert table[ENSEMBLE]["Training_Time"] >= sum(members[:3])
+    assert sum(r["importance"] for r in catalog.feature_importance(spark, SF).collect()) == pytest.approx(1.0)
