@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 WINDOW, MOST_REPEATED, FEWEST = 5, 20, 10  # base rule: words of a window, per cent in repeated windows, words of a text
 REPEAT, COVERED, LONGEST = 4, 25, 100  # verdict: words of a repeat at least, per cent covered, words of the longest
+FREE = 10  # covered words that are no fault in the shortest text: a line of a few words, said twice
 AT_ONCE = 1 << 18  # words sorted together, beyond the last text
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -160,7 +161,8 @@ def _judged(least: int):
 
 
 def judge(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = REPEAT, covered: int = COVERED, longest: int = LONGEST
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = REPEAT, covered: int = COVERED, longest: int = LONGEST,
+    free: int = FREE,
 ) -> DataFrame:
     """Counts of every text, base_failed and kept.
 
@@ -169,8 +171,8 @@ def judge(
     n_repeat_words words in windows of five that the text holds twice or more. The
     base rule fails texts of fewer than ten words or with over 20 per cent of them in
     repeated windows. The verdict of the suffix array fails those of which maximal
-    repeats of ``least`` words or more cover over ``covered`` per cent, or of which
-    one is over ``longest`` words long. n_repeats is their number, n_covered the words
+    repeats of ``least`` words or more cover over ``free`` words and over ``covered``
+    per cent, or of which one is over ``longest`` words long. n_repeats is their number, n_covered the words
     under them, longest_repeat the words of the longest. A null text has no words and
     fails; each row is judged by itself, rows with equal or null ids too. Extra columns
     are not read, an empty table gives no rows.
@@ -179,5 +181,6 @@ def judge(
         _judged(least), ", ".join([f"doc_id {docs.schema[id_col].dataType.simpleString()}", *[f"{c} bigint" for c in _COUNTS]])
     )
     failed = (F.col("n_words") < FEWEST) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    repeats = (100 * F.col("n_covered") > covered * F.col("n_words")) | (F.col("longest_repeat") > longest)
+    much = (F.col("n_covered") > free) & (100 * F.col("n_covered") > covered * F.col("n_words"))
+    repeats = much | (F.col("longest_repeat") > longest)
     return counted.withColumn("base_failed", failed).withColumn("kept", ~(F.col("base_failed") | repeats))

@@ -164,6 +164,6 @@ ORACLES: dict[str, str] = {
             FROM split LEFT JOIN base USING (doc) LEFT JOIN under USING (doc) LEFT JOIN long USING (doc))
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_covered,
                n_words < {quality_rules.FEWEST} OR 100 * n_repeat_words > {quality_rules.MOST_REPEATED} * n_words AS base_failed,
-               NOT (base_failed OR 100 * n_covered > {quality_rules.COVERED} * n_words OR n_over > 0) AS kept
+               NOT (base_failed OR n_covered > {quality_rules.FREE} AND 100 * n_covered > {quality_rules.COVERED} * n_words OR n_over > 0) AS kept
         FROM counted""",
 }

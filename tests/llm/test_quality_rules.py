@@ -35,10 +35,11 @@ def test_verdict(spark):
     texts = {
         1: fresh(1, 50), 2: " ".join(f"a{i} a{i} a{i} a{i} a{i}" for i in range(10)), 3: fresh(3, 9),
         4: f"{fresh(4, 120)} {fresh(5, 2000)} {fresh(4, 120)}", 5: f"{fresh(6, 15)} {fresh(7, 200)} {fresh(6, 15)}",
+        6: f"{fresh(8, 4)} {fresh(9, 6)} {fresh(8, 4)}",
     }
     rows = {r["doc_id"]: r for r in quality_rules.judge(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")).collect()}
     assert {i: (r["base_failed"], r["kept"]) for i, r in rows.items()} == {
-        1: (False, True), 2: (False, False), 3: (True, False), 4: (False, False), 5: (False, True),
+        1: (False, True), 2: (False, False), 3: (True, False), 4: (False, False), 5: (False, True), 6: (False, True),
     }
     assert rows[4]["longest_repeat"] == 120 and rows[4]["n_repeats"] == 1 and rows[2]["n_covered"] == 50
 
