@@ -7,10 +7,16 @@ a = c * exp(-r * (t - b + 1)), the place holds (word, t) of the smallest a. Two
 documents hold the same at a place with the probability of their generalised
 Jaccard similarity, the sum of the smaller weights by that of the larger ones.
 
+A gamma number is -ln(u * v) of two uniform ones, and ln u / ln(u * v) is uniform
+and independent of it: so r = -ln(u * v) and b = ln u / ln(u * v) are drawn from
+the same two. Then exp(-r * (1 - b)) is v, a is c * v * exp(-r * t), and t is 0
+wherever w * v < 1: no logarithm but that of c is needed for most words. A word of
+the same weight in both versions of a text is sampled once.
+
 Only column expressions are used. Texts are shuffled once, into runs of
 neighbouring ids; words are counted and sampled where the text lies. A sample is
-one number, ln a above and a hash of (word, t) below, so the smallest is a plain
-minimum in generated code.
+one number, the root of a above and a hash of (word, t) below, so the smallest is
+a plain minimum in generated code.
 """
 
 from __future__ import annotations
@@ -22,29 +28,29 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 SAMPLES, AT_ONCE = 64, 8  # places of a fingerprint; places in one row of minima
 RUNS = 1024  # runs of neighbouring ids that texts are shuffled into; each is sorted by itself
 NO_ID = -(1 << 63)  # stands for a null id, which comes last
-_STEP = float(1 << 24)  # steps that ln a is told apart by
+_NONE = (1 << 63) - 1  # no sample: above all
+_STEP = float(1 << 28)  # steps that the root of a, below 8, is told apart by
 
 
 def _uniform(bits: Column, shift: int) -> Column:
-    """A number in (0, 1) from 21 bits of a hash."""
-    return (F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit((1 << 21) - 1)) + F.lit(0.5)) / F.lit(float(1 << 21))
-
-
-def _samples(place: Column, log_weights: list[Column]) -> list[Column]:
-    """The sample of each weight at a place, as one number to take the minimum of."""
-    one, two = F.xxhash64("word", place), F.xxhash64(place, F.col("word"))
-    r = -F.log(_uniform(one, 0) * _uniform(one, 21))
-    log_c = F.log(-F.log(_uniform(two, 0) * _uniform(two, 21)))
-    b = _uniform(one, 42)
-    out = []
-    for log_w in log_weights:
-        t = F.floor(log_w / r + b)
-        log_a = log_c - r * (t - b + 1)
-        high = F.greatest(F.lit(-(1 << 30)), F.least(F.lit((1 << 30) - 1), F.floor(log_a * F.lit(_STEP / 4))))
-        # The word is a hash already: t, spread by an odd number, only has to tell its samples apart.
-        low = F.col("word").bitwiseXOR(t * F.lit(0x9E3779B1)).bitwiseAND(F.lit((1 << 32) - 1))
-        out.append(F.shiftleft(high, 32) + low)
-    return out
+    """A number in (0, 1) from 31 bits of a hash."""
+    return (F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit((1 << 31) - 1)) + F.lit(0.5)) / F.lit(float(1 << 31))
+
+
+def _sample(place: Column) -> Column:
+    """(word, t) of the weight ``w``, whose logarithm is ``log_w``, at a place, as one number to take the minimum of."""
+    one, two, word = F.xxhash64("word", place), F.xxhash64(place, F.col("word")), F.col("word")
+    u, v = _uniform(one, 32), _uniform(one, 0)
+    least = F.log(_uniform(two, 0) * _uniform(two, 32)) * -v  # c * v
+
+    def packed(a: Column, low: Column) -> Column:
+        return F.shiftleft(F.floor(F.sqrt(a) * F.lit(_STEP)), 32) + low.bitwiseAND(F.lit((1 << 32) - 1))
+
+    r = -F.log(u * v)
+    t = F.floor((F.col("log_w") - F.log(u)) / r)
+    # The word is a hash already: t, spread by an odd number, only has to tell its samples apart.
+    late = packed(least * F.exp(-r * t), word.bitwiseXOR(t * F.lit(0x9E3779B1)))
+    return F.when(F.col("w") * v < 1, packed(least, word)).otherwise(late)
 
 
 def _runs(docs: DataFrame) -> Column:
@@ -100,15 +106,26 @@ def sample(versions: DataFrame, keys: list[str], texts: list[str]) -> DataFrame:
         .select(*keys, F.when(F.col("word") != "", F.col("v")).alias("v"), F.xxhash64("word").alias("word"))
         .groupBy(*keys, "word").agg(*[F.count_if(F.col("v") == i).alias(f"w{i}") for i in range(len(texts))])
     )
-    logs = [F.when(F.col(f"w{i}") > 0, F.log(f"w{i}")) for i in range(len(texts))]
-    smallest = []
-    for k in range(AT_ONCE):
-        for i, one in enumerate(_samples(F.col("part") * AT_ONCE + k, logs)):
-            smallest.append(F.min(one).alias(f"m{i}_{k}"))
+    every = [F.col(f"w{i}") for i in range(len(texts))]
+    kinds = []
+    for i, w in enumerate(every):  # a row for each weight of a word, with a mask over the versions of other weights
+        first = ~F.greatest(*every, F.lit(0)).cast("boolean") if i == 0 else F.lit(False)  # a text without words keeps a row
+        new = F.lit(True)
+        for earlier in every[:i]:
+            new = new & (earlier != w)
+        masks = [F.when((other == w if j != i else F.lit(True)) & (w > 0), F.lit(0)).otherwise(F.lit(_NONE)).cast("bigint").alias(f"mask{j}") for j, other in enumerate(every)]
+        kinds.append(F.struct(F.when(first | ((w > 0) & new), w.cast("double")).alias("w"), *masks))
+    rows = (
+        words.select(*keys, "word", F.explode(F.array(*kinds)).alias("kind")).filter("kind.w IS NOT NULL")
+        .select(*keys, "word", "kind.*", F.log("kind.w").alias("log_w"))
+        .select("*", F.explode(F.sequence(F.lit(0), F.lit(SAMPLES // AT_ONCE - 1))).alias("part"))
+    )
+    drawn = [_sample(F.col("part") * AT_ONCE + k) for k in range(AT_ONCE)]
+    versions_of = range(len(texts))
     parts = (
-        words.select("*", F.explode(F.sequence(F.lit(0), F.lit(SAMPLES // AT_ONCE - 1))).alias("part"))
-        .groupBy(*keys, "part").agg(*smallest)
-        .select(*keys, "part", *[F.array(*[F.col(f"m{i}_{k}") for k in range(AT_ONCE)]).alias(f"m{i}") for i in range(len(texts))])
+        rows.groupBy(*keys, "part")
+        .agg(*[F.min(s.bitwiseOR(F.col(f"mask{i}"))).alias(f"m{i}_{k}") for k, s in enumerate(drawn) for i in versions_of])
+        .select(*keys, "part", *[F.array(*[F.nullif(F.col(f"m{i}_{k}"), F.lit(_NONE)) for k in range(AT_ONCE)]).alias(f"m{i}") for i in versions_of])
     )
     return parts.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("part", *[f"m{i}" for i in range(len(texts))]))).alias("all")).select(
         *keys, *[F.flatten(F.col(f"all.m{i}")).alias(f"f{i}") for i in range(len(texts))]
