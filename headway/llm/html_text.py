@@ -5,7 +5,12 @@ tags; its density is characters per tag, lowered where links make up the text.
 The element with the largest sum of its children's densities is the core of the
 page, and the lowest density on the way from the body to it is the threshold:
 what reaches the threshold is searched for its own largest sum, and that
-subtree is taken whole. Menus, forms and the like are left out beforehand.
+subtree is taken whole. The body itself is not on the way, unless it is the core:
+it holds the menus and notices that the threshold is to keep away.
+
+Names of elements and classes that mark menus, notices and the like are hints: such
+a part counts for nothing, but only while it holds less than ``MOST`` of the page's
+characters outside links. An article in a box named after its sidebar stays.
 """
 
 from __future__ import annotations
@@ -24,10 +29,10 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span "
     "strike strong sub sup time tt u var wbr".split()
 )
-LEFT_OUT = frozenset(
-    "script style noscript template head title nav header footer aside form button select textarea input iframe "
-    "object embed svg canvas audio video dialog menu".split()
+UNSEEN = frozenset(
+    "script style noscript template head title button select textarea input iframe object embed svg canvas audio video".split()
 )
+BESIDE = frozenset("nav header footer aside form dialog menu".split())
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main "
     "nav ol p pre section table ul".split()
@@ -39,14 +44,15 @@ NOTICE = re.compile(
     r"header|footer|masthead|toolbar|pagination|pager|share|sharing|social|related|recommend(?:ed|ations)?|"
     r"comments?|commentlist|replies|reply|disqus|complementary|contentinfo|search)(?:$|[\s_-])"
 )
+MOST = 2 / 3  # share of the page's characters outside links from which on a hint is not believed
 _ROOTS = frozenset(("html", "body", "main", "article"))
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total", "out")
+    __slots__ = ("tag", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total", "out", "hint")
 
     def __init__(self, tag: str, parent: "Node | None", out: bool):
-        self.tag, self.parent, self.out = tag, parent, out
+        self.tag, self.parent, self.out, self.hint = tag, parent, out, False
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
@@ -111,12 +117,15 @@ class _Tree:
             for term in ("dt", "dd"):
                 self._pop_to(term, _TERMS)
         top = self.open[-1]
-        out = top.out or tag in LEFT_OUT
+        out, hint = top.out or tag in UNSEEN, tag in BESIDE
         if attributes and not out and tag not in _ROOTS:
             for name, value in _VALUE.findall(attributes):
-                if name.lower() == "hidden" or NOTICE.search(value.strip("\"'").lower()):
+                if name.lower() == "hidden":
                     out = True
+                elif NOTICE.search(value.strip("\"'").lower()):
+                    hint = True
         node = Node(tag, top, out)
+        node.hint = hint
         top.children.append(node)
         if tag not in VOID:
             self.open.append(node)
@@ -132,6 +141,18 @@ def _walk(root: Node) -> list[Node]:
     return order
 
 
+def _believe_hints(body: Node) -> None:
+    """Leave out the hinted parts, from the outside in, that do not hold most of the page."""
+    order = _walk(body)
+    plain: dict[int, int] = {}  # characters outside links
+    for node in reversed(order):
+        plain[id(node)] = sum(
+            sum(map(len, c.split())) if isinstance(c, str) else 0 if c.out or c.tag == "a" else plain[id(c)] for c in node.children
+        )
+    for node in order:
+        node.out = node.out or node.parent.out or (node.hint and plain[id(node)] < MOST * max(1, plain[id(body)])) if node is not body else node.out
+
+
 def _measure(body: Node) -> list[Node]:
     order = _walk(body)
     for node in reversed(order):
@@ -171,8 +192,8 @@ def _core(body: Node, order: list[Node]) -> set[int]:
         return set()
     threshold, node = best.density, best
     while node is not body:
-        node = node.parent
         threshold = min(threshold, node.density)
+        node = node.parent
     path, up = set(), best
     while up is not None:
         path.add(id(up))
@@ -215,8 +236,8 @@ def _blocks(root: Node, taken: set[int]) -> Iterator[str]:
     yield "".join(held)
 
 
-def main_text(html: str | None) -> str:
-    """The article of one page; empty for a null or empty page."""
+def main_text(html: str | None, hints: bool = True) -> str:
+    """The article of one page; empty for a null or empty page. Without ``hints`` by density alone."""
     if not html:
         return ""
     tree = _Tree(html)
@@ -227,6 +248,8 @@ def main_text(html: str | None) -> str:
             body = node
             break
         todo += [c for c in reversed(node.children) if isinstance(c, Node) and c.tag in ("html", "body")]
+    if hints:
+        _believe_hints(body)
     taken = _core(body, _measure(body))
     return " ".join(filter(None, (" ".join(block.split()) for block in _blocks(body, taken))))
 
@@ -235,7 +258,9 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     """Main text of every page: page_id, url, text, n_chars.
 
     Pages are read one by one in Arrow batches, so a task holds a batch, not a
-    partition. A null or empty page and one without text give an empty text. Ids
+    partition. A null or empty page and one without text give an empty text. A part
+    that element and class names mark as no article is left out unless it holds
+    most of the page. Ids
     may be null or repeated: every row is its own page; extra columns are not read.
     """
     wanted = pages.select(

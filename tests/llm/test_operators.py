@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -198,6 +199,42 @@ def test_html(html, text):
     assert html_text.main_text(html) == text
 
 
+WORDS = "alpha beta gamma delta " * 10
+
+
+@pytest.mark.parametrize("html", [
+    f'<div class="content has-sidebar"><h1>T</h1><p>{WORDS}</p><p>{WORDS}</p></div><footer>some foot</footer>',
+    f'<div id="page" class="no-sidebar"><nav><a href=x>m</a></nav><div class="sidebar">side</div><h1>T</h1><p>{WORDS}</p><p>{WORDS}</p></div>',
+    f'<aside><h1>T</h1><p>{WORDS}</p><p>{WORDS}</p><div class="ad">buy</div></aside><p class="ads">buy this</p>',
+])
+def test_html_hints_never_take_most_of_the_page(html):
+    assert html_text.main_text(html) == " ".join(f"T {WORDS} {WORDS}".split())
+
+
+def test_html_density_without_hints():
+    menu = "<ul>" + "".join(f"<li><a href=x>entry {i}</a>" for i in range(9)) + "</ul>"
+    page = f"<body><div>{menu}</div><div>sold here</div><div><h1>T</h1><p>{WORDS}<p>{WORDS}<p>{WORDS}</div><div>foot</div>"
+    assert html_text.main_text(page, hints=False) == " ".join(f"T {WORDS * 3}".split())
+
+
+def test_html_equals_the_article_of_each_page(spark):
+    plain = re.compile(r"<article.*?</article>", re.S)
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect() if r["html"]]
+    marked = [(h, html_text.main_text(m[0], hints=False)) for h in pages if (m := plain.search(h))]
+    assert len(marked) > 100
+    assert [html_text.main_text(h) for h, _ in marked] == [a for _, a in marked]
+    alone = sum(html_text.main_text(h, hints=False) == a for h, a in marked)
+    assert alone >= 0.9 * len(marked)
+
+
+def test_html_empty_table_and_clashing_names(spark):
+    kinds = "page_id bigint, url string, html string, text string, n_chars string"
+    assert html_text.extract_text(spark.createDataFrame([], kinds)).collect() == []
+    long = "<p>" + "word " * 200_000 + "</p>"
+    got = html_text.extract_text(spark.createDataFrame([(1, "u", long, "x", "y")] * 2, kinds)).collect()
+    assert [r["n_chars"] for r in got] == [999_999, 999_999]
+
+
 def test_html_table(spark):
     rows = [(1, "u", "<p>a</p>", "t"), (None, None, None, None), (1, "u", "<div>" * 3000 + "deep", "t")]
     got = html_text.extract_text(spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")).collect()
