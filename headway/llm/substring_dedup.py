@@ -12,8 +12,13 @@ meet. Windows next to each other with one anchor form a record: some 75 starts i
    copies. Their bytes are fetched and the suffixes at all starts sorted. A
    mergesort compares two suffixes by their common extension, found by binary
    search over prefix polynomial hashes in eight steps; neighbours that agree on
-   200 bytes are verified byte by byte. Anchors with very many different records
-   are worked off by the hashes of their windows instead, counted by Spark.
+   200 bytes are verified byte by byte.
+4. More different records of one anchor than are sorted in one place are halved:
+   by the place of the anchor in their windows, into slices with half the
+   windows, which meet by the bytes that all these windows share. Slices that
+   meet no other go, equal ones are settled whole by their bytes and go on as
+   one, small groups are sorted, and the rest is halved again, eight times at
+   most: then a slice is a window.
 
 Every step groups by hashes with counts first, so a passage in a third of all
 documents does not meet in one task.
@@ -23,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +40,7 @@ from headway.sources.writing import stage
 LENGTH, GRAM = 200, 50
 WIDE = LENGTH - GRAM + 1  # grams of a window
 PIECE = 1 << 19  # windows looked at at once: a long text takes no more memory
-SORTED = 512  # different records of an anchor that are sorted in one place
+SORTED = 512  # different records that are sorted in one place; more are halved first
 AT_ONCE = 2048  # records sorted together, beyond the last group
 
 _U = np.uint64
@@ -107,16 +113,16 @@ def _batch(parts: list[tuple]) -> pa.RecordBatch:
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the records asked for."""
-    names = ["mh", "big", "id", "mark", "start", "n", "off"]
+    names = ["mh", "k", "id", "mark", "at", "lo", "hi"]
     for batch in batches:
         rows: list[list] = [[] for _ in range(8)]
         for key, mark, text, wanted in zip(*(batch.column(c).to_pylist() for c in ("id", "mark", "text", "wanted"))):
             raw = _bytes(text)
             for w in wanted:
                 data = raw[w["start"] : w["start"] + w["n"] + LENGTH - 1]
-                for column, value in zip(rows, (w["mh"], w["big"], key, mark, w["start"], w["n"], w["off"], data)):
+                for column, value in zip(rows, (w["mh"], w["k"], key, mark, w["start"], w["off"] - w["n"] + 1, w["off"], data)):
                     column.append(value)
-        kinds = [pa.int64(), pa.bool_(), *[pa.int64()] * 5, pa.binary()]
+        kinds = [*[pa.int64()] * 7, pa.binary()]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], names=[*names, "data"])
 
 
@@ -213,16 +219,16 @@ def _span_rows(keys: list[tuple], found: list[np.ndarray]) -> pa.RecordBatch:
 
 
 def _sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Records come ordered by anchor; whole groups are sorted together."""
+    """Slices come ordered by group; whole groups are sorted together."""
     held: list[tuple] = []
 
     def settle(rows: list[tuple]) -> pa.RecordBatch:
-        mh, key, mark, start, n, off, data = zip(*rows)
-        found = repeated_windows(list(data), np.array(mh), np.array(off), np.array(n))
-        return _span_rows(list(zip(key, mark, start)), found)
+        group, key, mark, at, lo, hi, data = zip(*rows)
+        found = repeated_windows(list(data), np.array(group), np.array(hi), np.array(hi) - np.array(lo) + 1)
+        return _span_rows(list(zip(key, mark, at)), found)
 
     for batch in batches:
-        held += zip(*(batch.column(c).to_pylist() for c in ("mh", "id", "mark", "start", "n", "off", "data")))
+        held += zip(*(batch.column(c).to_pylist() for c in ("g", "id", "mark", "at", "lo", "hi", "data")))
         while len(held) > AT_ONCE:
             end = AT_ONCE
             while end < len(held) and held[end][0] == held[end - 1][0]:
@@ -235,29 +241,56 @@ def _sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield settle(held)
 
 
-def _window_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["mh", "id", "mark", "start", "a", "off", "w1", "w2"]
-    for batch in batches:
-        parts = []
-        for mh, key, mark, start, n, off, raw in zip(*(batch.column(c).to_pylist() for c in ("mh", "id", "mark", "start", "n", "off", "data"))):
-            data, at = np.frombuffer(raw, np.uint8), np.arange(n)
-            one = mix(_hash(_sums(data), at, at + LENGTH))
-            two = mix(_hash(_sums(data ^ np.uint8(0xA5)), at, at + LENGTH) ^ _U(0x5851F42D4C957F2D))
-            parts.append((*(np.full(n, v) for v in (mh, key, mark, start)), start + at, off - at, one.view(np.int64), two.view(np.int64)))
-        if parts:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], names=names)
+def _halved(slices: DataFrame) -> DataFrame:
+    """Each slice as two, by the place of the anchor in its windows, named by the bytes shared by all windows of a half."""
+    middle = F.expr("(p + q) div 2")
+    halves = F.array(
+        F.struct(F.col("p").alias("p"), middle.alias("q")), F.struct((middle + 1).alias("p"), F.col("q").alias("q"))
+    )
+    low, high = F.greatest("lo", "half.p"), F.least("hi", "half.q")
+    return (
+        slices.withColumn("half", F.explode(halves)).withColumns({"low": low, "high": high}).filter("low <= high")
+        .selectExpr(
+            "mh", "half.p AS p", "half.q AS q", "id", "mark", "at + hi - high AS at", "low AS lo", "high AS hi",
+            f"substring(data, cast(hi - high + 1 AS int), cast(high - low + {LENGTH} AS int)) AS data",
+        )
+        # A clash of names does no harm: it only brings slices together whose bytes differ.
+        .withColumn("g", F.expr(f"xxhash64(mh, p, q, substring(data, cast(hi - p + 1 AS int), cast({LENGTH} + p - q AS int)))"))
+    )
 
 
-def _other_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans of the windows of a record that are not named as the only ones of their kind."""
-    for batch in batches:
-        keys, found = [], []
-        for key, mark, start, n, single in zip(*(batch.column(c).to_pylist() for c in ("id", "mark", "start", "n", "single"))):
-            hits = np.ones(n, bool)
-            hits[np.array(single or [], np.int64) - start] = False
-            keys.append((key, mark, start))
-            found.append(hits)
-        yield _span_rows(keys, found)
+def _by_slices(pieces: DataFrame) -> DataFrame:
+    """Spans of the windows of different records that equal one of another record.
+
+    ``pieces`` has one row for each different record of an anchor: the anchor, their
+    number ``k``, the first place ``at`` in the text, the least and largest place of
+    the anchor in its windows (``lo``, ``hi``) and the bytes.
+    """
+    kind = ["g", "mh", "p", "q", "lo", "hi", "data"]
+    groups = [pieces.withColumns({"g": F.col("mh"), "p": F.lit(0).cast("bigint"), "q": F.lit(WIDE - 1).cast("bigint")})]
+    halved, classes = [], []
+    for _ in range((WIDE - 1).bit_length()):
+        large = groups[-1].filter(F.col("k") > SORTED)
+        if large.isEmpty():
+            break
+        halved.append(stage(_halved(large), "string-halves"))
+        classes.append(
+            stage(
+                halved[-1].groupBy(*kind).agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("id", "mark", "at")).alias("one")),
+                "string-slices",
+            )
+        )
+        met = classes[-1].groupBy("g").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+        groups.append(stage(classes[-1].join(met, "g").select(*kind, "k", "one.*"), "string-groups"))
+    small = [g.filter(F.col("k") <= SORTED).select("g", "id", "mark", "at", "lo", "hi", "data") for g in groups]
+    found = reduce(DataFrame.unionByName, small).repartition("g").sortWithinPartitions("g").mapInArrow(
+        _sorted_groups, "id bigint, mark bigint, a bigint, b bigint"
+    )
+    if not halved:
+        return found
+    repeated = reduce(DataFrame.unionByName, classes).filter("c > 1").select(*kind)
+    settled = reduce(DataFrame.unionByName, halved).join(repeated, kind, "left_semi")
+    return found.unionByName(settled.selectExpr("id", "mark", "at AS a", f"at + hi - lo + {LENGTH} AS b"))
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -292,33 +325,16 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # One record of each class stands for it; what is found of one that stands for others is known already.
     wanted = (
         classes.join(several, "mh")
-        .select("one.id", "one.mark", F.struct("mh", (F.col("k") > SORTED).alias("big"), "one.start", "one.n", "one.off").alias("w"))
+        .select("one.id", "one.mark", F.struct("mh", "k", "one.start", "one.n", "one.off").alias("w"))
         .groupBy("id", "mark").agg(F.collect_list("w").alias("wanted"))
     )
     pieces = stage(
         texts.join(wanted, ["id", "mark"]).mapInArrow(
-            _slices, "mh bigint, big boolean, id bigint, mark bigint, start bigint, n bigint, off bigint, data binary"
-        ).dropDuplicates(["mh", "id", "mark", "start"]),
+            _slices, "mh bigint, k bigint, id bigint, mark bigint, at bigint, lo bigint, hi bigint, data binary"
+        ).dropDuplicates(["mh", "id", "mark", "at"]),
         "string-pieces",
     )
-    by_sorting = pieces.filter(~F.col("big")).repartition("mh").sortWithinPartitions("mh").mapInArrow(
-        _sorted_groups, "id bigint, mark bigint, a bigint, b bigint"
-    )
-    # Counting names the windows that are alone, by their only row; all others of a record are repeated.
-    big = pieces.filter("big")
-    single = (
-        big.mapInArrow(
-            _window_hashes, "mh bigint, id bigint, mark bigint, start bigint, a bigint, off bigint, w1 bigint, w2 bigint"
-        )
-        .groupBy("mh", "off", "w1", "w2")
-        .agg(F.count(F.lit(1)).alias("c"), *[F.min(k).alias(k) for k in ("id", "mark", "start", "a")]).filter("c = 1")
-        .groupBy("mh", "id", "mark", "start").agg(F.collect_list("a").alias("single"))
-    )
-    by_counting = (
-        big.select("mh", "id", "mark", "start", "n").join(single, ["mh", "id", "mark", "start"], "left")
-        .mapInArrow(_other_windows, "id bigint, mark bigint, a bigint, b bigint")
-    )
-    return settled.unionByName(by_sorting).unionByName(by_counting)
+    return settled.unionByName(_by_slices(pieces))
 
 
 def _cut(names: list[str], text_col: str, spans_col: str, with_text: bool):

@@ -268,9 +268,9 @@ def test_embeddings_none(spark):
 
 # --- substrings
 
-@pytest.mark.parametrize("most", [512, 1])
+@pytest.mark.parametrize("most", [512, 5, 1])
 def test_substrings(plain, monkeypatch, most):
-    """Both ways of telling different records apart: sorting, and counting windows."""
+    """Different records are told apart by sorting alone, by halving first, by halving alone."""
     monkeypatch.setattr(substring_dedup, "SORTED", most)
     df, rows = plain
     got = {r["doc_id"]: tuple(r)[1:] for r in substring_dedup.remove_repeats(df).collect()}
@@ -279,6 +279,21 @@ def test_substrings(plain, monkeypatch, most):
     assert any(b for _, b, _, _ in want.values())
 
 
+@pytest.mark.parametrize("most", [20, 1])
+def test_substrings_of_a_hot_line(spark, monkeypatch, most):
+    """A line in very many texts, whose surroundings agree for none, few or many bytes."""
+    monkeypatch.setattr(substring_dedup, "SORTED", most)
+    line = "".join(chr(97 + (i * i * 7) % 25) for i in range(230))
+    rows = [(i, f"{prose(i, 9)}{'before it, ' * (i % 3)}{line}{' and behind' * (i % 2)} {prose(i // 4, 12)}") for i in range(240)]
+    made = []
+    halved = substring_dedup._halved
+    monkeypatch.setattr(substring_dedup, "_halved", lambda df: made.append(halved(df)) or made[-1])
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: tuple(r)[1:] for r in substring_dedup.remove_repeats(df).collect()}
+    assert got == {i: (a, b, c, hashlib.sha256(d).hexdigest()) for i, a, b, c, d in brute.remove_repeats(rows)}
+    assert made and all(m.count() <= 8 * len(rows) for m in made)  # rows of slices, not of windows
+
+
 def test_substrings_across_pieces(plain, monkeypatch):
     monkeypatch.setattr(substring_dedup, "PIECE", 300)
     df, rows = plain
