@@ -313,18 +313,15 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found_in = lambda: texts.mapInArrow(
         _records, "id bigint, mark bigint, mh bigint, rh bigint, start bigint, n bigint, off bigint"
     )
-    repeated = stage(found_in().groupBy("mh").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("mh"), "string-anchors")
-    met = stage(found_in().join(repeated, "mh"), "string-records")
-    classes = stage(
-        met.groupBy("mh", "rh").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("id", "mark", "start", "n", "off")).alias("one")),
-        "string-classes",
-    )
-    several = stage(classes.groupBy("mh").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"), "string-several")
+    counted = stage(found_in().groupBy("mh", "rh").agg(F.count(F.lit(1)).alias("c")), "string-classes")
+    repeated = counted.groupBy("mh").agg(F.sum("c").alias("all"), F.count(F.lit(1)).alias("k")).filter("all > 1")
+    classes = stage(counted.join(repeated.select("mh", "k"), "mh"), "string-repeated")
+    met = stage(found_in().join(classes, ["mh", "rh"]), "string-records")
     end = F.col("start") + F.col("n") + (LENGTH - 1)
-    settled = met.join(classes.filter("c > 1").select("mh", "rh"), ["mh", "rh"]).select("id", "mark", F.col("start").alias("a"), end.alias("b"))
+    settled = met.filter("c > 1").select("id", "mark", F.col("start").alias("a"), end.alias("b"))
     # One record of each class stands for it; what is found of one that stands for others is known already.
     wanted = (
-        classes.join(several, "mh")
+        met.filter("k > 1").groupBy("mh", "rh", "k").agg(F.min(F.struct("id", "mark", "start", "n", "off")).alias("one"))
         .select("one.id", "one.mark", F.struct("mh", "k", "one.start", "one.n", "one.off").alias("w"))
         .groupBy("id", "mark").agg(F.collect_list("w").alias("wanted"))
     )
