@@ -14,9 +14,10 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 from math import ceil
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark import SparkContext
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.feature import ElementwiseProduct
 from pyspark.ml.functions import vector_to_array
@@ -27,10 +28,13 @@ from pyspark.ml.regression import (
     GBTRegressionModel,
     GBTRegressor,
     LinearRegression,
+    RandomForestRegressionModel,
     RandomForestRegressor,
 )
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from headway.operators import grouping
+from headway.operators.grouping import GROUP, MARK, WEIGHT
 from headway.session import shared_dir
 
 log = logging.getLogger(__name__)
@@ -59,6 +63,7 @@ MAX_ROUNDS, PATIENCE = 500, 20
 LEAST_PARTS, ROWS_A_PART = 8, 2_000_000
 
 CHECKPOINT_ROUNDS = 10  # rounds whose lineage is cut at once
+TREES_AT_ONCE = 8  # trees of a grouped forest that are fitted side by side
 
 # Fixed value: seconds after which a model is given up.
 TIME_LIMIT = 1800.0
@@ -71,7 +76,7 @@ class TrainingData:
 
     ``parts`` is the number of parts that training rows are placed in for trees; by
     default it follows their number. ``placed`` holds them as they were placed once
-    for several models.
+    for several models, ``shared`` their groups once a model has asked for them.
     """
 
     train: DataFrame
@@ -80,13 +85,12 @@ class TrainingData:
     features: str = "scaledFeatures"
     parts: int | None = None
     placed: DataFrame | None = None
+    shared: dict | None = None
 
     def columns(self) -> dict[str, str]:
         return {"labelCol": self.label, "featuresCol": self.features}
 
 
-MARK = "__mark"  # hash of a training row's values
-
 Fit = Callable[[TrainingData], Model]
 
 
@@ -123,6 +127,33 @@ def placed(data: TrainingData) -> DataFrame:
     return rows.repartition(data.parts or parts_for(rows.count()), MARK).sortWithinPartitions(MARK)
 
 
+@contextmanager
+def grouped(data: TrainingData, least: float = 0.0) -> Iterator[grouping.Groups | None]:
+    """Training rows by feature vector, or None where they are under ``least`` times the vectors or too many differ."""
+    shared = {} if data.shared is None else data.shared
+    if "groups" not in shared:
+        shared["groups"] = grouping.by_features(data.train, data.features, data.label)
+    groups = shared["groups"]
+    try:
+        yield groups if groups is not None and groups.size * least <= groups.rows else None
+    finally:
+        if groups is not None and data.shared is None:
+            groups.release()
+
+
+# Parameters that speak of single rows; with them trees are fitted on the rows themselves.
+OF_ROWS = {"subsamplingRate", "weightCol", "validationIndicatorCol", "minWeightFractionPerNode"}
+
+
+def by_weight(params: dict, rows: float) -> dict | None:
+    """Parameters for weighted rows: a least number of rows in a node is a share of their weight. None if there is none."""
+    least = params.get("minInstancesPerNode", 1)
+    if 4 * least > rows:
+        return None
+    rest = {k: v for k, v in params.items() if k != "minInstancesPerNode"}
+    return rest if least == 1 else rest | {"minWeightFractionPerNode": (least - 0.5) / rows}
+
+
 # --- linear family -----------------------------------------------------------
 
 def elastic_net(**overrides) -> Fit:
@@ -161,10 +192,64 @@ def lasso(alpha: float = LASSO_ALPHA) -> Fit:
 # --- trees -------------------------------------------------------------------
 
 def forest(seed: int = SEED, max_memory_mb: int = 512, **params) -> Fit:
-    """Random forest. More memory per node group means fewer passes over the rows."""
-    return lambda data: RandomForestRegressor(
-        **data.columns(), seed=seed, maxMemoryInMB=max_memory_mb, **params
-    ).fit(placed(data))
+    """Random forest. More memory per node group means fewer passes over the rows.
+
+    Where the rows have so few feature vectors that there are fewer sums (one for each
+    vector and tree) than rows, the trees are fitted on the sums; see ``grouped_forest``.
+    """
+    trees, drawn = params.get("numTrees", 20), params.get("bootstrap", True)
+
+    def fit(data: TrainingData) -> Model:
+        with grouped(data, trees if drawn else 1) as groups:
+            known = None if groups is None or (OF_ROWS - {"subsamplingRate"}) & set(params) else by_weight(params, groups.rows)
+            settings = {**data.columns(), "seed": seed, "maxMemoryInMB": max_memory_mb}
+            if known is not None and drawn:
+                return grouped_forest(groups, data, seed, settings, params)
+            if known is not None and "subsamplingRate" not in params:
+                return RandomForestRegressor(**settings, weightCol=WEIGHT, **known).fit(groups.table)
+            return RandomForestRegressor(**settings, **params).fit(placed(data))
+
+    return fit
+
+
+def grouped_forest(groups: grouping.Groups, data: TrainingData, seed: int, settings: dict, params: dict) -> RandomForestRegressionModel:
+    """A forest whose trees are fitted on the sums of their bootstrap samples, one weighted row for each vector.
+
+    Every row is drawn for every tree with Spark's own chances (``grouping.bootstrap``),
+    and every tree is Spark's own on its sample: bins, candidate slots of a node and
+    leaves as in a forest. The draws are others than those of a forest fitted on the rows.
+    """
+    trees = params.get("numTrees", 20)
+    slots = params.get("featureSubsetStrategy", "auto")
+    own = {k: v for k, v in params.items() if k not in ("numTrees", "bootstrap", "subsamplingRate")}
+    own["featureSubsetStrategy"] = "onethird" if slots == "auto" and trees > 1 else slots
+    sums = grouping.bootstrap(groups, trees, params.get("subsamplingRate", 1.0), seed)
+    sums = sums.coalesce(max(1, ceil(groups.size / grouping.GROUPS_A_PART))).persist()
+    seeds = [int(s) for s in np.random.default_rng(seed).integers(0, 1 << 62, trees)]
+    try:
+        sizes = dict(sums.select(F.posexplode("drawn")).groupBy("pos").agg(F.sum("col")).collect())
+
+        def tree(at: int) -> DecisionTreeRegressionModel:
+            sample = sums.select(data.features, F.col("drawn")[at].alias(WEIGHT), F.col("total")[at].alias("total")).filter(F.col(WEIGHT) > 0)
+            known = by_weight(own, sizes[at]) or {**own, "maxDepth": 0}
+            return RandomForestRegressor(
+                **{**settings, "seed": seeds[at]}, weightCol=WEIGHT, numTrees=1, bootstrap=False, **known
+            ).fit(sample.select(data.features, WEIGHT, (F.col("total") / F.col(WEIGHT)).alias(data.label))).trees[0]
+
+        with ThreadPool(min(trees, TREES_AT_ONCE)) as pool:
+            # Threads take the caller's job tags along, so a time limit reaches them.
+            fitted = pool.map(inheritable_thread_target(data.train.sparkSession)(tree), range(trees), chunksize=1)
+    finally:
+        sums.unpersist()
+    context = SparkContext._active_spark_context
+    regression = context._jvm.org.apache.spark.ml.regression
+    jtrees = context._gateway.new_array(regression.DecisionTreeRegressionModel, trees)
+    for i, one in enumerate(fitted):
+        jtrees[i] = one._java_obj
+    whole = RandomForestRegressionModel(regression.RandomForestRegressionModel(f"{fitted[0].uid}_{trees}", jtrees, fitted[0].numFeatures))
+    for name, value in {**settings, **params, "numTrees": trees}.items():  # the mean over trees is taken by numTrees
+        whole.set(whole.getParam(name), value)
+    return whole.copy()  # hands the settings to the JVM side
 
 
 def boosted(seed: int = SEED, **overrides) -> Fit:
@@ -343,7 +428,7 @@ def train_all(specs: Iterable[ModelSpec], data: TrainingData, limit: float | Non
     """Fit every model; one that fails or takes over ``limit`` seconds is reported and does not stop the others."""
     runs = []
     rows = placed(data).persist()  # filled by the first tree that asks for them
-    data = replace(data, placed=rows)
+    data = replace(data, placed=rows, shared={})
     try:
         for order, spec in enumerate(specs):
             started, model, problem, status = time.monotonic(), None, None, "ok"
@@ -359,6 +444,8 @@ def train_all(specs: Iterable[ModelSpec], data: TrainingData, limit: float | Non
             runs.append(ModelRun(spec.name, order, status, time.monotonic() - started, model, problem))
     finally:
         rows.unpersist()
+        if data.shared.get("groups") is not None:
+            data.shared["groups"].release()
     return runs
 
 
