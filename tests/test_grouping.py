@@ -88,11 +88,18 @@ def test_a_node_holds_its_least_number_of_rows(data, no_rows):
     assert all(1 < t.numNodes <= 2 * (990 * 1.2 // 200) - 1 for t in model.trees)
 
 
+def test_boosting_on_groups_is_boosting_on_rows(data, no_rows):
+    own = modeling.GBTRegressor(**data.columns(), maxIter=6, maxDepth=3, stepSize=0.1, seed=42).fit(data.train)
+    model = modeling.boosted(maxIter=6, maxDepth=3)(data)
+    assert _predictions(model, data.val) == pytest.approx(_predictions(own, data.val))
+    assert model.featureImportances.toArray() == pytest.approx(own.featureImportances.toArray())
+
+
 def test_models_of_a_run_share_the_groups(data, monkeypatch):
     made = []
     build = grouping.by_features
     monkeypatch.setattr(grouping, "by_features", lambda *a: made.append(1) or build(*a))
-    specs = [ModelSpec("forest", modeling.forest(numTrees=2, maxDepth=2)), ModelSpec("another", modeling.forest(numTrees=3, maxDepth=2))]
+    specs = [ModelSpec("forest", modeling.forest(numTrees=2, maxDepth=2)), ModelSpec("boosted", modeling.boosted(maxIter=2, maxDepth=2))]
     runs = modeling.train_all(specs, data)
     assert [r.status for r in runs] == ["ok"] * 2 and len(made) == 1
 
@@ -106,6 +113,6 @@ def test_rows_that_differ_are_not_grouped(spark, data):
 
 def test_a_missing_label_is_refused_as_before(spark, data):
     broken = data.train.withColumn("y", F.when(F.col("id") != 3, F.col("y")))
-    for fit in (modeling.forest(numTrees=2, maxDepth=2),):
+    for fit in (modeling.forest(numTrees=2, maxDepth=2), modeling.boosted(maxIter=1, maxDepth=1)):
         with pytest.raises(Exception, match="(?i)null|nan"):
             fit(TrainingData(broken, data.val, "y"))
