@@ -317,7 +317,9 @@ def boost(
 ) -> tuple[GBTRegressionModel, list[float]]:
     """Boost round by round; the model of the best round, and the validation error of every round fitted.
 
-    The state of the loop is a table: label, features, residual and round of each row.
+    The state of the loop is a table: label, features, residual, weight and round of each
+    row, or of each feature vector where the rows are far more than those (the residual
+    is the mean then, and a sample is the number and mean of the rows drawn of a vector).
     A round fits one tree on a share of the training rows, chosen by a hash of their
     values, and on a share of the slots (the others are multiplied by 0, so no split
     falls on them and slots keep their numbers). The residuals that it leaves are the
@@ -327,13 +329,42 @@ def boost(
     count by ``step``, as in Spark's own boosting. Every tenth state is checkpointed.
     """
     shared_dir(data.train.sparkSession)
-    residual, target, turn = "__residual", "__target", "__round"
+    with grouped(data) as groups:
+        known = None if groups is None or OF_ROWS & set(params) else by_weight(params, row_share * groups.rows)
+        return _boost(data, groups if known is not None else None, max_rounds, patience, step, row_share, column_share, seed, params)
+
+
+def _boost(data, groups, max_rounds, patience, step, row_share, column_share, seed, params):
+    residual, target, turn, spread = "__residual", "__target", "__round", "__spread"
+    key = MARK if groups is None else GROUP
+
+    def begin(rows: DataFrame, weight=F.lit(1.0), more=F.lit(0.0)) -> DataFrame:
+        return rows.select(
+            data.features, key, F.col(data.label).cast("double").alias(residual), F.lit(0).alias(turn), weight.alias(WEIGHT), more.alias(spread)
+        ).persist()
+
+    if groups is None:
+        train = begin(placed(data))
+        val = begin(data.val.select(data.features, data.label).withColumn(MARK, F.lit(0).cast("bigint")))
+    else:
+        train = begin(groups.table, F.col(WEIGHT))
+        val = begin(grouping.collapsed(data.val, data.features, data.label, spread), F.col(WEIGHT), F.col(spread))
+
+    def share(state: DataFrame, at: int) -> DataFrame:
+        """The rows that a round's tree is fitted on."""
+        if groups is None:
+            return state.filter(drawn).withColumn(target, F.col(residual) * (2.0 if at else 1.0))
+        if row_share >= 1.0:
+            return state.withColumn(target, F.col(residual) * (2.0 if at else 1.0))
+        # The mean residual of the rows drawn: that of all, moved as the mean label of those drawn is.
+        some = groups.cells.withColumn(turn, F.lit(at)).filter(drawn).groupBy(GROUP).agg(
+            F.sum("copies").cast("double").alias("n"), (F.sum(F.col(data.label).cast("double") * F.col("copies")) / F.sum("copies")).alias("mean")
+        )
+        whole = groups.table.select(GROUP, F.col(data.label).alias("whole"))
+        return state.drop(WEIGHT).join(some, GROUP).join(whole, GROUP).select(
+            data.features, F.col("n").alias(WEIGHT), ((F.col(residual) + F.col("mean") - F.col("whole")) * (2.0 if at else 1.0)).alias(target)
+        ).coalesce(groups.table.rdd.getNumPartitions())
 
-    def begin(rows: DataFrame) -> DataFrame:
-        return rows.withColumns({residual: F.col(data.label).cast("double"), turn: F.lit(0)}).drop(data.label).persist()
-
-    train = begin(placed(data))
-    val = begin(data.val.select(data.features, data.label).withColumn(MARK, F.lit(0).cast("bigint")))
     drawn = F.pmod(F.xxhash64(MARK, turn, F.lit(seed)), F.lit(10_000)) < int(row_share * 10_000)
     trees: list[DecisionTreeRegressionModel] = []
     errors: list[float] = []
@@ -344,21 +375,24 @@ def boost(
             mask = np.zeros(slots)
             mask[columns_of(at, slots, column_share, seed)] = 1.0
             masked = ElementwiseProduct(scalingVec=Vectors.dense(mask), inputCol=data.features, outputCol="__masked")
-            sample = train.filter(drawn).withColumn(target, F.col(residual) * (2.0 if at else 1.0))
+            sample = share(train, at)
+            weighed = params if groups is None else {"weightCol": WEIGHT, **by_weight(params, row_share * groups.rows)}
             tree = DecisionTreeRegressor(
-                featuresCol="__masked", labelCol=target, predictionCol="__step", seed=seed, maxMemoryInMB=512, **params
+                featuresCol="__masked", labelCol=target, predictionCol="__step", seed=seed, maxMemoryInMB=512, **weighed
             ).fit(masked.transform(sample)).setFeaturesCol(data.features)
             trees.append(tree)
             left = (F.col(residual) - F.col("__step") * (step if at else 1.0)).alias(residual)
             states = []
             for state in (train, val):
-                moved = tree.transform(state).select(data.features, MARK, left, (F.col(turn) + 1).alias(turn)).persist()
+                moved = tree.transform(state).select(data.features, key, left, (F.col(turn) + 1).alias(turn), WEIGHT, spread).persist()
                 if at % CHECKPOINT_ROUNDS == CHECKPOINT_ROUNDS - 1:
                     kept = moved.checkpoint()
                     moved.unpersist()
                     moved = kept
                 states.append(moved)
-            errors.append(states[1].agg(F.avg(F.col(residual) * F.col(residual))).first()[0])
+            square = F.col(residual) * F.col(residual)
+            mean = F.avg(square) if groups is None else F.sum(F.col(WEIGHT) * square + F.col(spread)) / F.sum(WEIGHT)
+            errors.append(states[1].agg(mean).first()[0])
             done, older = older, [train, val]  # the state before is filled only by the next tree
             for state in done:
                 state.unpersist()

@@ -95,13 +95,27 @@ def test_boosting_on_groups_is_boosting_on_rows(data, no_rows):
     assert model.featureImportances.toArray() == pytest.approx(own.featureImportances.toArray())
 
 
+@pytest.mark.parametrize("share", [1.0, 0.7])
+def test_the_loop_on_groups_is_the_loop_on_rows(data, monkeypatch, share):
+    def fit():
+        model, errors = modeling.boost(data, 12, None, row_share=share, column_share=1.0, maxDepth=3)
+        return _predictions(model, data.val), errors
+
+    with monkeypatch.context() as patch:
+        patch.setattr(grouping, "by_features", lambda *_: None)
+        values, errors = fit()
+    monkeypatch.setattr(modeling, "placed", None)
+    found, again = fit()
+    assert found == pytest.approx(values) and again == pytest.approx(errors)
+
+
 def test_models_of_a_run_share_the_groups(data, monkeypatch):
     made = []
     build = grouping.by_features
     monkeypatch.setattr(grouping, "by_features", lambda *a: made.append(1) or build(*a))
     specs = [ModelSpec("forest", modeling.forest(numTrees=2, maxDepth=2)), ModelSpec("boosted", modeling.boosted(maxIter=2, maxDepth=2))]
-    runs = modeling.train_all(specs, data)
-    assert [r.status for r in runs] == ["ok"] * 2 and len(made) == 1
+    runs = modeling.train_all([*specs, ModelSpec("loop", modeling.early_stopped(2, 1))], data)
+    assert [r.status for r in runs] == ["ok"] * 3 and len(made) == 1
 
 
 def test_rows_that_differ_are_not_grouped(spark, data):
