@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 GROUP, WEIGHT, MARK = "__group", "__weight", "__mark"
 
 MOST_SLOTS = 512  # longer vectors, as of text categories, are not grouped
+FEWEST_ROWS = 100_000  # with fewer, trees are fitted on the rows as they are
 LEAST_ROWS = 4  # rows that a vector, or a sum kept for it, stands for at least
 GROUPS_A_PART, DRAWS_A_PART = 50_000, 100_000_000
 MOST_COPIES = 32  # equal rows that one draw stands for; more are dealt over several
@@ -50,7 +51,7 @@ class Groups:
 
 
 def by_features(train: DataFrame, features: str, label: str) -> Groups | None:
-    """The groups, or None where they would not be far fewer than the rows.
+    """The groups, or None where the rows are few or the groups would not be far fewer.
 
     A vector is known by a 64-bit hash of its slots; it is checked that no two share one.
     """
@@ -60,7 +61,7 @@ def by_features(train: DataFrame, features: str, label: str) -> Groups | None:
     slots = vector_to_array(F.col(features))
     rows = train.select(slots.alias("slots"), F.col(label)).select("slots", label, F.xxhash64("slots").alias(GROUP))
     seen = rows.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(GROUP).alias("groups")).first()
-    if seen["groups"] * LEAST_ROWS > seen["n"]:
+    if seen["n"] < FEWEST_ROWS or seen["groups"] * LEAST_ROWS > seen["n"]:
         return None
     found = rows.groupBy(GROUP, "slots").agg(
         # A missing label stays one, for the model to refuse.

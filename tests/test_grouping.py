@@ -21,6 +21,11 @@ def data(spark):
     return TrainingData(df.filter("id < 900").cache(), df.filter("id >= 900").cache(), "y")
 
 
+@pytest.fixture(autouse=True)
+def any_number(monkeypatch):
+    monkeypatch.setattr(grouping, "FEWEST_ROWS", 0)
+
+
 @pytest.fixture
 def no_rows(monkeypatch):
     """A tree that asks for the rows themselves fails."""
@@ -118,11 +123,13 @@ def test_models_of_a_run_share_the_groups(data, monkeypatch):
     assert [r.status for r in runs] == ["ok"] * 3 and len(made) == 1
 
 
-def test_rows_that_differ_are_not_grouped(spark, data):
+def test_few_rows_or_rows_that_differ_are_not_grouped(spark, data, monkeypatch):
     rows = data.train.withColumn("a", F.col("id").cast("double")).drop("scaledFeatures")
     apart = VectorAssembler(inputCols=["a", "b"], outputCol="scaledFeatures").transform(rows)
     assert grouping.by_features(apart, "scaledFeatures", "y") is None
     assert grouping.by_features(apart.limit(0), "scaledFeatures", "y") is None
+    monkeypatch.setattr(grouping, "FEWEST_ROWS", 1_000)
+    assert grouping.by_features(data.train, "scaledFeatures", "y") is None
 
 
 def test_a_missing_label_is_refused_as_before(spark, data):
