@@ -4,7 +4,10 @@ Which windows can meet: each 200-byte window has an anchor, the 50-byte gram in
 with the smallest hash (the leftmost of equal ones). Equal windows have equal
 anchors at the same place in them, so only windows with the same anchor need to
 meet. Windows next to each other with one anchor form a record: some 75 starts in
-275 bytes, two records for 150 bytes of text, which are shuffled as hashes.
+275 bytes, two records for 150 bytes of text, which are shuffled as hashes. Where
+a text repeats itself after p bytes, up to 151, a record has p starts and equals
+the next one; such a run is one row with the number of its records, so few bytes
+said over and over make no more rows than other text.
 
 1. Anchors that occur once are dropped: nothing else can equal their windows.
 2. Equal records (same anchor, same bytes) settle each other whole.
@@ -60,7 +63,10 @@ def _hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def records(data: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-    """Runs of windows with one anchor: hash of the anchor and of the bytes, start, windows, place of the anchor."""
+    """Runs of windows with one anchor: hash of the anchor and of the bytes, start, windows, place of the anchor, times.
+
+    Equal records that follow each other are one, with their number.
+    """
     for at in range(0, max(0, len(data) - LENGTH + 1), PIECE):
         piece = data[at : at + PIECE + LENGTH - 1]
         windows = len(piece) - LENGTH + 1
@@ -80,7 +86,11 @@ def records(data: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         count = np.diff(np.concatenate((first, [windows])))
         anchor = anchors[first]
         whole = mix(_hash(sums, first, first + count + LENGTH - 1) + _U(31) * (anchor - first).astype(np.uint64))
-        yield hashed[anchor].view(np.int64), whole.view(np.int64), first + at, count, anchor - first
+        found = (hashed[anchor].view(np.int64), whole.view(np.int64), count, anchor - first)
+        new = np.concatenate(([True], np.any([c[1:] != c[:-1] for c in found], axis=0)))
+        times = np.diff(np.concatenate((np.flatnonzero(new), [len(new)])))
+        gram, whole, count, off = (c[new] for c in found)
+        yield gram, whole, first[new] + at, count, off, times
 
 
 def _bytes(text: str | None) -> bytes:
@@ -107,7 +117,7 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _batch(parts: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*parts)], names=["id", "mark", "mh", "rh", "start", "n", "off"]
+        [pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*parts)], names=["id", "mark", "mh", "rh", "start", "n", "off", "times"]
     )
 
 
@@ -311,16 +321,16 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     key, text, mark = _keyed(docs, id_col, text_col)
     texts = docs.select(key.alias("id"), mark.alias("mark"), text.alias("text"))
     found_in = lambda: texts.mapInArrow(
-        _records, "id bigint, mark bigint, mh bigint, rh bigint, start bigint, n bigint, off bigint"
+        _records, "id bigint, mark bigint, mh bigint, rh bigint, start bigint, n bigint, off bigint, times bigint"
     )
-    repeated = stage(found_in().groupBy("mh").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("mh"), "string-anchors")
+    repeated = stage(found_in().groupBy("mh").agg(F.sum("times").alias("c")).filter("c > 1").select("mh"), "string-anchors")
     met = stage(found_in().join(repeated, "mh"), "string-records")
     classes = stage(
-        met.groupBy("mh", "rh").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("id", "mark", "start", "n", "off")).alias("one")),
+        met.groupBy("mh", "rh").agg(F.sum("times").alias("c"), F.min(F.struct("id", "mark", "start", "n", "off")).alias("one")),
         "string-classes",
     )
     several = stage(classes.groupBy("mh").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"), "string-several")
-    end = F.col("start") + F.col("n") + (LENGTH - 1)
+    end = F.col("start") + F.col("n") * F.col("times") + (LENGTH - 1)  # of a run: it has no gaps
     settled = met.join(classes.filter("c > 1").select("mh", "rh"), ["mh", "rh"]).select("id", "mark", F.col("start").alias("a"), end.alias("b"))
     # One record of each class stands for it; what is found of one that stands for others is known already.
     wanted = (

@@ -294,6 +294,41 @@ def test_substrings_of_a_hot_line(spark, monkeypatch, most):
     assert made and all(m.count() <= 8 * len(rows) for m in made)  # rows of slices, not of windows
 
 
+def said_over(n: int) -> list[tuple]:
+    """Texts that say some bytes over and over, a different number of times, after words of their own."""
+    said = ["a", "ab", "one two. ", prose(7, 6) + " ", prose(8, 18)[:151], prose(9, 40)[:180], "é😀 "]
+    return [(i, f"{prose(500 + i, 12)} {said[i % len(said)] * (1500 // len(said[i % len(said)]) + i % 5)}{prose(600 + i, i % 9)}") for i in range(n)]
+
+
+@pytest.mark.parametrize("most, piece", [(512, 1 << 19), (512, 300), (1, 1 << 19)])
+def test_substrings_of_bytes_said_over_and_over(spark, monkeypatch, most, piece):
+    """Runs of equal records are one row each, in what is shuffled and in the joins, and remove what they did."""
+    monkeypatch.setattr(substring_dedup, "SORTED", most)
+    monkeypatch.setattr(substring_dedup, "PIECE", piece)
+    staged, stage = [], substring_dedup.stage
+    monkeypatch.setattr(substring_dedup, "stage", lambda df, name: staged.append((name, stage(df, name))) or staged[-1][1])
+    rows = said_over(42)
+    got = {r["doc_id"]: tuple(r)[1:] for r in substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {i: (a, b, c, hashlib.sha256(d).hexdigest()) for i, a, b, c, d in brute.remove_repeats(rows)}
+    if piece > 300:
+        met = dict(staged)["string-records"]
+        assert met.count() <= 40 * len(rows) < met.agg(F.sum("times")).first()[0] / 4
+
+
+@pytest.mark.parametrize("period", [1, 2, 9, 75, 150, 151, 152, 300])
+def test_records_are_no_more_for_periodic_texts(period):
+    """All windows are in one run, in order, and a run is no finer than records of other text."""
+    rng = np.random.default_rng(period)
+    data = np.concatenate((rng.integers(0, 256, 500), np.resize(rng.integers(0, 256, period), 9000), rng.integers(0, 256, 500))).astype(np.uint8)
+    (mh, rh, start, n, off, times), = substring_dedup.records(data)
+    assert len(start) <= 300 and (off >= 0).all() and (times >= 1).all()
+    assert start.tolist() == np.concatenate(([0], np.cumsum(n * times)[:-1])).tolist()
+    assert (n * times).sum() == len(data) - 199
+    for s, c, o, t in zip(start, n, off, times):  # each record of a run: the same bytes, the anchor at the same place
+        pieces = {data[s + i * c : s + i * c + c + 199].tobytes() for i in range(t)}
+        assert len(pieces) == 1 and c <= o + 1
+
+
 def test_substrings_across_pieces(plain, monkeypatch):
     monkeypatch.setattr(substring_dedup, "PIECE", 300)
     df, rows = plain
