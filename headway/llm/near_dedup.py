@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from headway.llm import batches
 from headway.llm.components import connected_components
 from headway.sources.writing import stage
 
@@ -257,6 +258,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     component and are kept; rows with the same id count as one document with all
     their links, whatever their texts, and each comes back. Extra columns are not read; an empty table gives no rows.
     """
+    with batches.small(docs.sparkSession):  # all that goes to Python is staged in it
+        return _near_duplicates(docs, words, percent, id_col, text_col)
+
+
+def _near_duplicates(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     rows_in = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed = rows_in.withColumn("mark", F.xxhash64("text")).mapInArrow(
         _sign(words), "doc_id bigint, mark bigint, n_shingles bigint, k1 bigint, k2 bigint, sig binary, bands array<bigint>"

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from headway.llm import (
-    components, embedding_dedup, fingerprints, html_text, mixing, near_dedup, packing, quality, queries, sharding,
+    batches, components, embedding_dedup, fingerprints, html_text, mixing, near_dedup, packing, quality, queries, sharding,
     substring_dedup, url_filter,
 )
 from tests.llm import brute
@@ -133,6 +133,29 @@ def test_near_duplicates_awkward(docs, empty):
     assert near_dedup.near_duplicates(empty).collect() == []
 
 
+def test_near_duplicates_sends_small_batches(spark, monkeypatch):
+    """Texts and sets go to Python a few at a time, and the session's own limit comes back."""
+    def bounded(make):
+        def made(*args):
+            def work(rows, real=make(*args)):
+                def each():
+                    for batch in rows:
+                        assert batch.nbytes < 100_000
+                        yield batch
+                return real(each())
+            return work
+        return made
+
+    monkeypatch.setattr(batches, "BYTES", 1 << 15)
+    for name in ("_sign", "_sets", "_confirmed", "_cells"):
+        monkeypatch.setattr(near_dedup, name, bounded(getattr(near_dedup, name)))
+    rows = [(k, prose(k // 2, 120) + " end" * (k % 2)) for k in range(300)]
+    before = spark.conf.get(batches.SETTING)
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1), 4, 80).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {k: k - k % 2 for k in range(300)}
+    assert spark.conf.get(batches.SETTING) == before
+
+
 @pytest.mark.parametrize("sent", [0, 1_000_000])
 def test_ids_with_several_texts(spark, monkeypatch, sent):
     """Links of a text that is a copy elsewhere are not lost, rows are not multiplied, ids hold their rows together."""
