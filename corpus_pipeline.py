@@ -3,14 +3,15 @@
 Each stage works on all documents that the one before it kept, and every stage but
 the last returns the columns of ``documents``. SQL cannot express the classifier,
 the bands or the tokenizer, so there is no oracle: tests/llm holds the stages
-against plain versions.
+against plain versions. Stages that hand texts to Python set the session's Arrow
+batches to a megabyte and leave them so, as what they return is computed later.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from headway.llm import mixing, near_dedup, packing, quality, queries, substring_dedup
+from headway.llm import batches, mixing, near_dedup, packing, quality, queries, substring_dedup
 from headway.llm.substring_dedup import free_name
 from headway.sources.writing import stage
 
@@ -23,6 +24,7 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop what the quality classifier rejects."""
+    batches.keep_small(spark)
     model = quality.fit(docs, _labels(spark, sf_dir))
     name = free_name(docs, "score")
     return quality.score(docs, model, keep_as=name).filter(F.col(name) >= LEAST_SCORE).drop(name)
@@ -45,6 +47,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut out every 200-byte string that stands anywhere else; the length follows the text."""
+    batches.keep_small(spark)
     cut = substring_dedup.remove_repeats(docs, with_text=True)
     return cut.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*docs.columns)
 
@@ -62,6 +65,7 @@ def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    batches.keep_small(spark)
     return packing.pack(docs, queries.tokenizer())
 
 

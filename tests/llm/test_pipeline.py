@@ -1,7 +1,9 @@
 """The pipeline's stages, one by one and in a row."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from headway.llm import queries
+from headway.llm import batches, queries
 from tests.llm import brute
 from tests.llm.test_operators import check_pieces
 from headway.llm.packing import WordCoder
@@ -41,6 +43,29 @@ def test_one_row_of_each_group_of_copies_stays(spark):
     assert {r["text"] or "" for r in cut.collect()} == {one, two + " z", three, ""}
 
 
+def test_stages_send_small_batches(spark, monkeypatch):
+    """Texts go to Python a few at a time when what a stage returned is computed."""
+    def sized(docs):
+        def check(rows):
+            for batch in rows:
+                assert batch.nbytes < 100_000
+                yield batch
+        return docs.mapInArrow(check, docs.schema)
+
+    monkeypatch.setattr(batches, "BYTES", 1 << 15)
+    monkeypatch.setattr(corpus_pipeline.quality, "fit", lambda docs, labels: None)
+    monkeypatch.setattr(corpus_pipeline.quality, "score", lambda docs, model, keep_as: sized(docs).withColumn(keep_as, F.lit(1.0)))
+    monkeypatch.setattr(corpus_pipeline.substring_dedup, "remove_repeats", lambda docs, with_text: sized(docs))
+    monkeypatch.setattr(corpus_pipeline.packing, "pack", lambda docs, files: sized(docs))
+    docs = spark.createDataFrame([(k, f"word{k} " * 120, "en", "s", 0) for k in range(600)], DOCS).coalesce(1)
+    try:
+        for work in (corpus_pipeline.keep_good, corpus_pipeline.drop_repeated_passages, corpus_pipeline.pack_sequences):
+            spark.conf.unset(batches.SETTING)
+            assert work(spark, docs, SF).count() == 600
+    finally:
+        spark.conf.unset(batches.SETTING)
+
+
 def test_run(spark):
     pieces = corpus_pipeline.run(spark, SF).collect()
     assert len({(p["sequence_id"], p["offset"]) for p in pieces}) == len(pieces)
