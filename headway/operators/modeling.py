@@ -467,23 +467,33 @@ def time_limit(spark: SparkSession, seconds: float | None) -> Iterator[threading
         watcher.join()
 
 
-def train_all(specs: Iterable[ModelSpec], data: TrainingData, limit: float | None = TIME_LIMIT) -> list[ModelRun]:
-    """Fit every model; one that fails or takes over ``limit`` seconds is reported and does not stop the others."""
+class TrainingFailed(RuntimeError):
+    """A model was not fitted in a run that was to have all of them."""
+
+
+def train_all(specs: Iterable[ModelSpec], data: TrainingData, limit: float | None = TIME_LIMIT, whole: bool = False) -> list[ModelRun]:
+    """Fit every model; one that fails or takes over ``limit`` seconds is reported and does not stop the others.
+
+    With ``whole`` it ends them all with an error: what is made of the others alone is no
+    result for one who reads no status.
+    """
     runs = []
     rows = placed(data).persist()  # filled by the first tree that asks for them
     data = replace(data, placed=rows, shared={})
     try:
         for order, spec in enumerate(specs):
-            started, model, problem, status = time.monotonic(), None, None, "ok"
+            started, model, problem, cause, status = time.monotonic(), None, None, None, "ok"
             with time_limit(data.train.sparkSession, limit) as over:
                 try:
                     model = spec.fit(data)
                 except Exception as error:  # noqa: BLE001 - any failure belongs to this model only
-                    problem, status = str(error), "failed"
+                    problem, cause, status = str(error), error, "failed"
             if over.is_set():
                 model, status, problem = None, "timeout", f"not fitted in {limit:g} seconds"
             if problem is not None:
                 log.warning("training %s: %s: %s", spec.name, status, problem)
+                if whole:
+                    raise TrainingFailed(f"training {spec.name}: {status}: {problem}") from cause
             runs.append(ModelRun(spec.name, order, status, time.monotonic() - started, model, problem))
     finally:
         rows.unpersist()

@@ -685,9 +685,14 @@ def model_roundtrip(spark, sf):
 
 
 def _run(spark, sf, specs, features=CALENDAR) -> DataFrame:
-    """The whole run on events: one row per model, ensemble included; its staged tables are removed."""
+    """The whole run on events: one row per model, ensemble included; its staged tables are removed.
+
+    Status and error of a model are not among the rows, so none may be missing: no model is
+    given up for its time, and one that fails ends the query.
+    """
     config = trip_arrival.RunConfig(
         time="ts", key=("event_id",), label="value", numeric=("value",), required=("event_type", "value"), features=features, specs=specs,
+        time_limit=None, whole=True,
     )
     result = trip_arrival.run(spark, _table(spark, sf, "events"), config)
     writing.discard(spark, result.folder)
@@ -712,7 +717,7 @@ def trip_run_linear(spark, sf):
 
 
 def trip_run_default(spark, sf):
-    """The job as it is by default: elastic net, four forests, boosted trees, their ensemble."""
+    """The job with its default models: elastic net, four forests, boosted trees, their ensemble; all of them or an error."""
     return _run(spark, sf, modeling.default_specs())
 
 

@@ -38,6 +38,8 @@ class RunConfig:
     of the split. Without them a hash of all kept columns does, so that the parts
     hold the same rows however the source is cut into files. ``parts`` is the number
     of parts that training rows are placed in; by default it follows their number.
+    ``whole`` is for those who read the tables and not the status of each model: the
+    run has all of its models or ends with an error.
     """
 
     time: str = TIME
@@ -57,6 +59,7 @@ class RunConfig:
     dependence_on: str = "prediction"   # or "label"
     sample: int = 1000   # points of a scatter chart; the full tables are there as well
     time_limit: float | None = modeling.TIME_LIMIT   # seconds that a model may take
+    whole: bool = False         # a model that fails or is given up ends the run
     specs: Sequence[modeling.ModelSpec] = field(default_factory=modeling.default_specs)
 
 
@@ -198,7 +201,12 @@ def run(spark: SparkSession, raw: DataFrame, config: RunConfig = RunConfig()) ->
     def part(name: str) -> DataFrame:
         return prepared.part(scaled, name).select("scaledFeatures", config.label)
 
-    runs = modeling.train_all(config.specs, modeling.TrainingData(part("train"), part("val"), config.label, parts=config.parts), config.time_limit)
+    data = modeling.TrainingData(part("train"), part("val"), config.label, parts=config.parts)
+    try:
+        runs = modeling.train_all(config.specs, data, config.time_limit, whole=config.whole)
+    except modeling.TrainingFailed:
+        writing.discard(spark, folder)
+        raise
     names = [r.name for r in runs if r.status == "ok"]
     seconds = {r.name: r.seconds for r in runs}
 

@@ -154,6 +154,23 @@ def test_a_model_beyond_its_time_is_given_up(spark, data):
     assert spark.range(10).count() == 10 and modeling.score(data.val, runs).columns[-1] == "pred_linear"
 
 
+def test_a_whole_run_ends_with_a_model_that_is_not_fitted(spark, data):
+    """Failed or out of time: the error names the model and what went wrong, and no other is fitted."""
+    def endless(d):
+        spark.range(10**15).selectExpr("sum(id % 7)").collect()
+
+    later = []
+    last = ModelSpec("later", later.append)
+    linear = ModelSpec("linear", modeling.least_squares())
+    with pytest.raises(modeling.TrainingFailed, match="broken: failed: .*regParam") as failed:
+        modeling.train_all([linear, ModelSpec("broken", modeling.elastic_net(regParam=-1.0)), last], data, whole=True)
+    assert failed.value.__cause__ is not None
+    with pytest.raises(modeling.TrainingFailed, match="endless: timeout: not fitted in 1 seconds"):
+        modeling.train_all([ModelSpec("endless", endless), last], data, limit=1.0, whole=True)
+    assert later == []
+    assert [r.status for r in modeling.train_all([linear], data, whole=True)] == ["ok"]
+
+
 def test_trees_do_not_depend_on_the_partitions(data):
     fits = [
         modeling.forest(numTrees=5, maxDepth=4)(TrainingData(data.train.repartition(n), data.val, data.label)) for n in (1, 7)

@@ -1,11 +1,15 @@
 """Every registered query against its SQL on the smallest tables."""
 
+from pathlib import Path
+
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
 from headway.operators import modeling
 from headway.plans import catalog
 from headway.schema import ENSEMBLE
+from headway.session import shared_dir
 from tests.compare import connect, differences
 
 SF = "/root/testdata/sf0.001"
@@ -61,3 +65,43 @@ def test_default_run_reduced(spark, monkeypatch):
     members = sorted(r["Training_Time"] for n, r in table.items() if n != ENSEMBLE)
     assert table[ENSEMBLE]["Training_Time"] >= sum(members[:3])
     assert sum(r["importance"] for r in catalog.feature_importance(spark, SF).collect()) == pytest.approx(1.0)
+
+
+def _events(spark, folder, value) -> str:
+    """Forty events, two hours apart."""
+    rows = spark.range(40).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 7_200).alias("ts"),
+        F.lit("view").alias("event_type"), value.cast("double").alias("value"),
+    )
+    rows.write.parquet(f"{folder}/events.parquet")
+    return str(folder)
+
+
+def _staged(spark) -> set:
+    return set(Path(shared_dir(spark).removeprefix("file:"), "headway").glob("run-*/*"))
+
+
+def test_default_run_without_its_models_is_an_error(spark, tmp_path):
+    """An infinite label is refused by all models: that was a result of no rows. Staged tables are removed."""
+    sf, before = _events(spark, tmp_path, F.when(F.col("id") == 7, float("inf")).otherwise(F.col("id"))), _staged(spark)
+    with pytest.raises(modeling.TrainingFailed, match="LinearRegression: failed"):
+        catalog.trip_run_default(spark, sf)
+    assert _staged(spark) <= before
+
+
+@pytest.mark.parametrize("broken", [0, 3])
+def test_default_run_without_one_of_its_models_is_an_error(spark, tmp_path, monkeypatch, broken):
+    """It had rows for the others and an ensemble of them."""
+    specs = [modeling.ModelSpec(f"Model_{i}", modeling.elastic_net(regParam=-1.0 if i == broken else 0.1)) for i in range(4)]
+    monkeypatch.setattr(modeling, "default_specs", lambda: specs)
+    sf = _events(spark, tmp_path, F.col("id") % 5)
+    with pytest.raises(modeling.TrainingFailed, match=f"Model_{broken}: failed"):
+        catalog.trip_run_default(spark, sf)
+
+
+def test_default_run_gives_no_model_up(spark, tmp_path, monkeypatch):
+    limits, limited = [], modeling.time_limit
+    monkeypatch.setattr(modeling, "time_limit", lambda session, seconds: limits.append(seconds) or limited(session, seconds))
+    monkeypatch.setattr(modeling, "default_specs", lambda: [modeling.ModelSpec("LinearRegression", modeling.elastic_net())])
+    catalog.trip_run_default(spark, _events(spark, tmp_path, F.col("id") % 5))
+    assert limits == [None]
